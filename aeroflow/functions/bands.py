@@ -13,8 +13,10 @@ GREEN_ONLY = ((None, "green"),)
 
 
 def min_max_scale(value: Column, low: Column, high: Column) -> Column:
-    """Value on a 0..1 scale; 0 when all values are equal."""
-    return F.when(high == low, F.lit(0.0)).otherwise((value - low) / (high - low))
+    """Value on a 0..1 scale; 0 when all values are equal, NULL for no value."""
+    return F.when(value.isNotNull() & (high == low), F.lit(0.0)).otherwise(
+        (value - low) / F.nullif(high - low, F.lit(0.0))
+    )
 
 
 def band(

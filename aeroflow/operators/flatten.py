@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeroflow import schemas
-from aeroflow.functions import as_time, typed_null
+from aeroflow.functions import as_time, json_number, typed_null
 from aeroflow.operators.decode import (
     parse_airports,
     parse_flight_pages,
@@ -15,6 +15,9 @@ from aeroflow.operators.decode import (
 )
 
 WRITER = "spark"
+LATITUDE = "$.coordinates[1]"
+LONGITUDE = "$.coordinates[0]"
+AIRPORT_ROW_FIELDS = [n for n in schemas.AIRPORT_DOC if n not in ("frequencies", "runways")]
 
 
 def flatten_flights(flights: DataFrame, *keep: str) -> DataFrame:
@@ -90,6 +93,14 @@ def _table_columns(
     return columns
 
 
+def with_position(airports: DataFrame) -> DataFrame:
+    """Adds latitude and longitude to airports rows, read from the GeoJSON point."""
+    geometry = F.col("geometry")
+    return airports.withColumns(
+        {"latitude": json_number(geometry, LATITUDE), "longitude": json_number(geometry, LONGITUDE)}
+    )
+
+
 def explode_frequencies(parsed: DataFrame, *keep: str) -> DataFrame:
     """One row per frequency; documents with none give no row."""
     children = parsed.select(
@@ -129,6 +140,3 @@ def frequencies_from_messages(messages: DataFrame) -> DataFrame:
 
 def runways_from_messages(messages: DataFrame) -> DataFrame:
     return explode_runways(with_id(parse_airports(messages, ["_id", "runways"])))
-
-
-AIRPORT_ROW_FIELDS = [n for n in schemas.AIRPORT_DOC if n not in ("frequencies", "runways")]

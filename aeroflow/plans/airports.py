@@ -5,20 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeroflow.functions import as_numeric, json_number, min_max_scale
+from aeroflow.functions import as_numeric, min_max_scale
 from aeroflow.operators import panels
-
-LATITUDE = "$.coordinates[1]"
-LONGITUDE = "$.coordinates[0]"
-
-
-def with_position(airports: DataFrame) -> DataFrame:
-    """Adds latitude and longitude, read from the GeoJSON point."""
-    geometry = F.col("geometry")
-    return airports.withColumns(
-        {"latitude": json_number(geometry, LATITUDE), "longitude": json_number(geometry, LONGITUDE)}
-    )
-
+from aeroflow.operators.flatten import with_position
 
 def airports_clean(airports: DataFrame) -> DataFrame:
     """Airports with an ICAO code, their position as numbers."""
@@ -97,12 +86,13 @@ def top_airports(frequencies: DataFrame, airports: DataFrame, n: int = 15) -> Da
 def airport_heatmap(frequencies: DataFrame, airports: DataFrame) -> DataFrame:
     """Position, total and 0..1 weight of every airport that has frequencies.
 
-    The range comes from the totals themselves: it is one row, read as a scalar
-    subquery, and its aggregation re-uses the shuffle of the totals.
+    The range of the totals is one row, read as a scalar subquery. Rows without
+    an airport are left out first, as the join would do, so that the subquery
+    and the join share one shuffle of the frequencies.
     """
-    totals = value_by_airport(frequencies)
-    low, high = panels.value_range(totals, "total_value")
-    points = with_position(airports_with_value(frequencies, airports, "name", "geometry"))
+    owned = frequencies.where(F.col("airport_id").isNotNull())
+    low, high = panels.value_range(value_by_airport(owned), "total_value")
+    points = with_position(airports_with_value(owned, airports, "name", "geometry"))
     value = F.col("total_value").cast("double")
     return points.select(
         "_id",

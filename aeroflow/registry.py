@@ -79,7 +79,7 @@ FLAT_AIRPORT = (
 @query
 def airports_flatten(w: Workspace) -> DataFrame:
     flat = build.airports_from_messages(w.current_airport_messages())
-    return ap.with_position(flat).select(*FLAT_AIRPORT)
+    return flatten.with_position(flat).select(*FLAT_AIRPORT)
 
 
 @query
@@ -191,7 +191,7 @@ def _page_sizes(records: DataFrame) -> DataFrame:
         F.col("key").cast("string").alias("key"),
         "partition",
         "offset",
-        array_size("flights").alias("n_flights"),
+        array_size("flights").cast("bigint").alias("n_flights"),
     )
 
 
@@ -388,7 +388,7 @@ def stream_flights_ingest(w: Workspace) -> DataFrame:
 @query
 def stream_airports_ingest(w: Workspace) -> DataFrame:
     tables = ingested_airports(w.spark, w.ingested(AIRPORTS_TOPIC))
-    return ap.with_position(tables["airports"]).select(*FLAT_AIRPORT)
+    return flatten.with_position(tables["airports"]).select(*FLAT_AIRPORT)
 
 
 @query

@@ -47,7 +47,7 @@ class JdbcSink:
         tagged = rows.withColumns(
             {BATCH: F.lit(batch_id).cast("bigint"), ATTEMPT: F.lit(tag)}
         )
-        tagged.write.format("jdbc").options(**self.database.options(table)).mode("append").save()
+        self.database.append(tagged, table)
 
     def write(self, table: str, rows: DataFrame, batch_id: int) -> None:
         self._append(table, rows, batch_id)
@@ -61,6 +61,7 @@ class JdbcSink:
         audit = self.database.read(spark, self.audit_table)
         return not audit.where(F.col(BATCH) == batch_id).isEmpty()
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
+    def read(self, spark: SparkSession, table: str, ddl: str | None = None) -> DataFrame:
+        """Rows of committed batches; the database knows the columns, not ``ddl``."""
         done = self.database.read(spark, self.audit_table).select(BATCH, ATTEMPT).distinct()
         return self.database.read(spark, table).join(done, [BATCH, ATTEMPT], "left_semi")

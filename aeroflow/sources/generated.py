@@ -35,9 +35,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def paged(rows: DataFrame, key: str, rows_per_page: int) -> DataFrame:
     """Adds ``page``: rows of a key dealt over as many pages as they fill.
 
-    Rows are dealt by position in the scan, so exact copies spread out too.
-    ``rows`` must come straight from a file scan: then a re-run task numbers
-    its rows the same way.
+    Rows are dealt by a hash of their position in the scan, so exact copies and
+    regularly spaced rows spread out too. ``rows`` must come straight from a
+    file scan: then a re-run task numbers its rows the same way.
     """
     numbered = rows.withColumn("row_no", F.monotonically_increasing_id())
     pages = (
@@ -47,7 +47,7 @@ def paged(rows: DataFrame, key: str, rows_per_page: int) -> DataFrame:
     )
     return (
         numbered.join(pages, key, "left")
-        .withColumn("page", F.coalesce(F.col("row_no") % F.col("pages"), F.lit(0)))
+        .withColumn("page", F.coalesce(F.expr("pmod(xxhash64(row_no), pages)"), F.lit(0)))
         .drop("row_no", "pages")
     )
 

@@ -21,6 +21,9 @@ class Database:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.format("jdbc").options(**self.options(table)).load()
 
+    def append(self, rows: DataFrame, table: str) -> None:
+        rows.write.format("jdbc").options(**self.options(table)).mode("append").save()
+
     def probe(
         self, spark: SparkSession, table: str = "information_schema.tables", n: int = 5
     ) -> DataFrame:

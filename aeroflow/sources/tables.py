@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aeroflow import schemas
+from aeroflow.operators.flatten import with_position
 
 TABLES = {
     "airports": schemas.AIRPORTS_TABLE,
@@ -34,6 +36,15 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def register_views(spark: SparkSession, root: str) -> None:
-    """Makes the stored tables available to SQL text under their usual names."""
+    """Makes the stored tables available to SQL text under their usual names.
+
+    Airports also get their position, and flights the short names ``status``
+    and ``airline``, since ad-hoc SQL uses those.
+    """
+    tables = {name: read_table(spark, root, name) for name in TABLES}
+    tables["airports"] = with_position(tables["airports"])
+    tables["flights"] = tables["flights"].withColumns(
+        {"status": F.col("flight_status"), "airline": F.col("airline_name")}
+    )
     for name, view in VIEW_NAMES.items():
-        read_table(spark, root, name).createOrReplaceTempView(view)
+        tables[name].createOrReplaceTempView(view)

@@ -36,6 +36,7 @@ class Workspace:
         folder = hashlib.sha256(self.sf_dir.encode()).hexdigest()[:12]
         self.root = shared_dir(spark, f"workspace-{folder}")
         self._done: set[str] = set()
+        self._frames: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
     def _once(self, step: str, run: Callable[[], object]) -> None:
@@ -44,6 +45,13 @@ class Workspace:
                 run()
                 self._done.add(step)
 
+    def _frame(self, name: str, read: Callable[[], DataFrame]) -> DataFrame:
+        """One frame per stored table, so that its files are listed once."""
+        with self._lock:
+            if name not in self._frames:
+                self._frames[name] = read()
+            return self._frames[name]
+
     def given(self, name: str) -> DataFrame:
         return generated.table(self.spark, self.sf_dir, name)
 
@@ -57,7 +65,8 @@ class Workspace:
         return FileTopic(path)
 
     def messages(self, name: str) -> DataFrame:
-        return self.topic(name).read(self.spark)
+        topic = self.topic(name)
+        return self._frame(f"topic {name}", lambda: topic.read(self.spark))
 
     def current_airport_messages(self) -> DataFrame:
         """The airports topic without superseded messages."""
@@ -75,7 +84,8 @@ class Workspace:
     def table(self, name: str) -> DataFrame:
         topic = generated.FLIGHTS_TOPIC if name == "flights" else generated.AIRPORTS_TOPIC
         self._once(f"tables {topic}", lambda: self.build(topic))
-        return read_table(self.spark, f"{self.root}/tables", name)
+        tables = f"{self.root}/tables"
+        return self._frame(f"table {name}", lambda: read_table(self.spark, tables, name))
 
     def ingested(self, topic: str) -> ParquetSink:
         """The sink of a streaming job that has read the whole topic."""
