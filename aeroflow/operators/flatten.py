@@ -55,7 +55,6 @@ def flights_from_messages(messages: DataFrame) -> DataFrame:
 
 def flatten_airports(parsed: DataFrame, *keep: str) -> DataFrame:
     """The 23 columns of the airports table, one row per document."""
-    now = F.current_timestamp()
     values = {
         "iata_code": F.col("iataCode"),
         "icao_code": F.col("icaoCode"),
@@ -67,13 +66,26 @@ def flatten_airports(parsed: DataFrame, *keep: str) -> DataFrame:
         "winch_only": F.col("winchOnly"),
         "geoid_height": F.lit(0),
         "hae": F.lit(0),
+        **audit_columns(),
+    }
+    return parsed.select(*keep, *_table_columns(schemas.AIRPORTS_TABLE, values, parsed.columns))
+
+
+def audit_columns(writer: str = WRITER) -> dict[str, Column]:
+    """Who wrote a row and when; the time is one instant per query or batch."""
+    now = F.current_timestamp()
+    return {
         "created_at": now,
         "updated_at": now,
-        "created_by": F.lit(WRITER),
-        "updated_by": F.lit(WRITER),
+        "created_by": F.lit(writer),
+        "updated_by": F.lit(writer),
         "v_version": F.lit(1),
     }
-    return parsed.select(*keep, *_table_columns(schemas.AIRPORTS_TABLE, values, parsed.columns))
+
+
+def clean_and_enrich(rows: DataFrame, required: str = "icao_code") -> DataFrame:
+    """The light filter before publishing: rows with the key, plus audit columns."""
+    return rows.where(F.col(required).isNotNull()).withColumns(audit_columns())
 
 
 def _table_columns(

@@ -16,7 +16,12 @@ HOME = "JFK"
 PANEL_DELAY = 22
 PANEL_UNIT = "min"
 
-# Display names of the latest-flights panel.
+# Display names of the panels' columns.
+DAILY_FLIGHTS_LABELS = {"flight_date": "time", "n_flights": "Vols au départ de JFK"}
+DAILY_DELAY_LABELS = {"flight_date": "time", "avg_delay": "Retard moyen (minutes)"}
+DESTINATION_LABELS = {"arrival_airport": "Destination", "n_flights": "Nombre de vols"}
+AIRLINE_LABELS = {"airline_name": "Compagnie", "n_flights": "Vols"}
+STATUS_LABELS = {"flight_status": "Statut", "n_flights": "Nombre"}
 LATEST_FLIGHTS_LABELS = {
     "flight_iata": "Numéro de vol",
     "airline_name": "Compagnie",

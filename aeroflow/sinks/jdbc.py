@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +37,7 @@ class JdbcSink:
     database: Database
     audit_table: str = "ingest_audit"
     native_arrays: bool = False
-    attempt: Mapping[int, str] = field(default_factory=dict, repr=False)
+    attempt: dict[int, str] = field(default_factory=dict, repr=False)
 
     def _append(self, table: str, rows: DataFrame, batch_id: int) -> None:
         tag = self.attempt.setdefault(batch_id, uuid.uuid4().hex)
@@ -49,6 +48,11 @@ class JdbcSink:
         )
         self.database.append(tagged, table)
 
+    def open(self, spark: SparkSession, audit_ddl: str) -> None:
+        """Appends no audit rows, which creates the audit table if there is none."""
+        self._append(self.audit_table, spark.createDataFrame([], audit_ddl), -1)
+        self.attempt.clear()
+
     def write(self, table: str, rows: DataFrame, batch_id: int) -> None:
         self._append(table, rows, batch_id)
 

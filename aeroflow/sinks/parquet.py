@@ -27,6 +27,9 @@ class ParquetSink:
     def _folder(self, table: str, batch_id: int) -> str:
         return f"{self.root}/{table}/{BATCH}={batch_id}"
 
+    def open(self, spark: SparkSession, audit_ddl: str) -> None:
+        """Nothing to prepare: a missing folder reads as an empty table."""
+
     def write(self, table: str, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self._folder(table, batch_id))
 

@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 @dataclass(frozen=True)
 class Database:
+    """Where it is, how to log in, and how many tasks may write to it at once."""
+
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
+    max_writers: int = 32
 
     def options(self, table: str) -> dict[str, str]:
         # `unspecified` lets a PostgreSQL server coerce text to richer column types.
@@ -22,7 +25,8 @@ class Database:
         return spark.read.format("jdbc").options(**self.options(table)).load()
 
     def append(self, rows: DataFrame, table: str) -> None:
-        rows.write.format("jdbc").options(**self.options(table)).mode("append").save()
+        options = self.options(table) | {"numPartitions": str(self.max_writers)}
+        rows.write.format("jdbc").options(**options).mode("append").save()
 
     def probe(
         self, spark: SparkSession, table: str = "information_schema.tables", n: int = 5

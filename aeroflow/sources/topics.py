@@ -60,15 +60,22 @@ class KafkaTopic:
 
 @dataclass(frozen=True)
 class FileTopic:
-    """A folder of Parquet files with the record columns of a Kafka topic."""
+    """A folder of Parquet files with the record columns of a Kafka topic.
+
+    A micro-batch is bounded, by bytes unless a number of files is given: a
+    backlog is worked off in batches the executors can cache.
+    """
 
     path: str
     max_files_per_trigger: int | None = None
+    max_bytes_per_trigger: int = 256 * 2**30
 
     def stream(self, spark: SparkSession) -> DataFrame:
         reader = spark.readStream.schema(schemas.ddl_row(schemas.MESSAGE_FIELDS))
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
+        else:
+            reader = reader.option("maxBytesPerTrigger", self.max_bytes_per_trigger)
         return reader.parquet(self.path)
 
     def read(self, spark: SparkSession, start: Offsets | None = None) -> DataFrame:

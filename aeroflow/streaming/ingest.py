@@ -38,6 +38,8 @@ MESSAGE_POSITION = {"key": "binary", "partition": "int", "offset": "bigint", "ti
 
 
 class Sink(Protocol):
+    def open(self, spark: SparkSession, audit_ddl: str) -> None: ...
+
     def is_committed(self, spark: SparkSession, batch_id: int) -> bool: ...
 
     def write(self, table: str, rows: DataFrame, batch_id: int) -> None: ...
@@ -166,6 +168,7 @@ def start(
     until_caught_up: bool = False,
 ) -> StreamingQuery:
     """Starts a job: until stopped, or until the topic as it is now is read."""
+    sink.open(spark, job.audit_ddl())
     metrics = [F.count("*").alias("messages")]
     metrics += [column.alias(name) for name, column in job.counts().items()]
     parsed = job.parse(topic.stream(spark)).observe(job.name, *metrics)

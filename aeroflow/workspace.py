@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aeroflow.plans import build
 from aeroflow.session import prepare, shared_dir
-from aeroflow.sinks import ParquetSink
+from aeroflow.sinks import FileTopicSink, ParquetSink
 from aeroflow.sources import generated
 from aeroflow.sources.tables import read_table
 from aeroflow.sources.topics import FileTopic
@@ -59,7 +59,7 @@ class Workspace:
         path = f"{self.root}/topics/{name}"
 
         def publish() -> None:
-            TOPICS[name](self.spark, self.sf_dir).write.mode("overwrite").parquet(path)
+            FileTopicSink(path).publish(TOPICS[name](self.spark, self.sf_dir), "overwrite")
 
         self._once(f"topic {name}", publish)
         return FileTopic(path)

@@ -14,6 +14,7 @@ from aeroflow.sinks.jdbc import encode_arrays
 from aeroflow.sources.jdbc import Database
 from aeroflow.sources.topics import FileTopic, KafkaTopic, peek
 from aeroflow.session import shared_dir
+from aeroflow.streaming import FLIGHT_JOB, ingest
 
 
 def test_kafka_options():
@@ -102,6 +103,16 @@ def test_rows_of_a_failed_attempt_are_not_read(spark, tmp_path):
     assert {r["a"] for r in kept.collect()} == {"[1]"}
 
 
+def test_a_job_can_start_on_an_empty_database(spark, messages, tmp_path):
+    topic = FileTopic(str(tmp_path / "topic"))
+    messages([{"data": [{"flight": {"iata": "A"}}]}, "{oops"]).write.parquet(topic.path)
+    sink = JdbcSink(FolderDatabase(str(tmp_path / "db")))
+    for _ in range(2):
+        ingest(spark, FLIGHT_JOB, topic, sink, str(tmp_path / "checkpoint"))
+    assert [r["flight_iata"] for r in sink.read(spark, "flights").collect()] == ["A"]
+    assert [r["reason"] for r in sink.read(spark, "rejects").collect()] == ["malformed"]
+
+
 def test_json_record_operators(spark, messages):
     pages = messages([{"data": [{"a": {"b": 1}, "c": "x"}, {"c": None}]}, "{oops", {"data": None}])
     records = decode.split_records(pages)

@@ -99,3 +99,19 @@ def test_dedup_takes_null_as_a_key(spark):
     kept = dedup.latest_by(rows, ["_id"], dedup.ARRIVAL_ORDER).collect()
     assert {(r["_id"], r["name"]) for r in kept} == {(None, "y"), ("a", "z")}
     assert set(kept[0].asDict()) == set(rows.columns)
+
+
+def test_enrichment(spark):
+    rows = spark.createDataFrame([("K1", 1), (None, 2)], "icao_code string, n int")
+    (row,) = flatten.clean_and_enrich(rows).collect()
+    assert (row["n"], row["created_by"], row["v_version"]) == (1, "spark", 1)
+
+
+def test_flights_without_a_date_are_stored(spark, messages, tmp_path):
+    from aeroflow.sources.tables import read_table
+
+    sent = [{"data": [{"flight_date": d, "flight": {"iata": d}} for d in ("2025-01-02", "bad")]}]
+    build.build_flights(messages(sent), str(tmp_path))
+    rows = read_table(spark, str(tmp_path), "flights").collect()
+    assert {(r["flight_iata"], str(r["flight_date"])) for r in rows} == {
+        ("2025-01-02", "2025-01-02"), ("bad", "None")}
