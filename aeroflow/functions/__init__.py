@@ -9,7 +9,13 @@ from aeroflow.functions.casts import (
     json_number,
     typed_null,
 )
-from aeroflow.functions.text import any_selected, json_paths, json_record, message_text
+from aeroflow.functions.text import (
+    any_selected,
+    json_paths,
+    json_record,
+    message_text,
+    paths_schema,
+)
 
 __all__ = [
     "any_selected",
@@ -23,5 +29,6 @@ __all__ = [
     "json_record",
     "message_text",
     "min_max_scale",
+    "paths_schema",
     "typed_null",
 ]

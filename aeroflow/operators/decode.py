@@ -17,7 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeroflow import schemas
-from aeroflow.functions import array_size, json_paths, json_record, message_text
+from aeroflow.functions import (
+    array_size,
+    json_paths,
+    json_record,
+    message_text,
+    paths_schema,
+)
 
 RAW = "raw"
 
@@ -116,8 +122,18 @@ def split_records(messages: DataFrame, array_field: str = "data") -> DataFrame:
 
 
 def extract_paths(records: DataFrame, paths: dict[str, str], *keep: str) -> DataFrame:
-    """Fields of the JSON text in ``record`` as text columns."""
-    return records.select(*keep, *json_paths(F.col("record"), paths))
+    """Fields of the JSON text in ``record`` as text columns.
+
+    Several plain paths are read in one parse of the record. ``get_json_object``,
+    which parses it again for every path, is left for a single path and for
+    paths with an index.
+    """
+    schema = paths_schema(paths.values()) if len(paths) > 1 else None
+    if schema is None:
+        return records.select(*keep, *json_paths(F.col("record"), paths))
+    doc = F.explode(F.array(F.from_json("record", schema))).alias("doc")
+    fields = [F.col(f"doc.{path[2:]}").alias(name) for name, path in paths.items()]
+    return records.select(*keep, doc).select(*keep, *fields)
 
 
 def normalize_records(records: DataFrame, paths: dict[str, str], *keep: str) -> DataFrame:

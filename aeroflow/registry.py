@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aeroflow import schemas
-from aeroflow.functions import array_size, as_double, json_number, json_paths
+from aeroflow.functions import array_size, as_double, json_number
 from aeroflow.operators import decode, flatten
 from aeroflow.plans import airports as ap
 from aeroflow.plans import build
@@ -130,7 +130,8 @@ def flights_raw_json(w: Workspace) -> DataFrame:
         "raw_gate": "$.departure.gate",
         "raw_aircraft": "$.aircraft",
     }
-    return w.table("flights").select("flight_iata", *json_paths(F.col("raw_json"), paths))
+    records = w.table("flights").select("flight_iata", F.col("raw_json").alias("record"))
+    return decode.extract_paths(records, paths, "flight_iata")
 
 
 @query

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aeroflow import schemas
+from aeroflow.functions import json_paths, paths_schema
 from aeroflow.operators import decode
 from aeroflow.sinks import FileTopicSink, JdbcSink, KafkaTopicSink, to_records
 from aeroflow.sinks.jdbc import encode_arrays
@@ -127,3 +128,16 @@ def test_json_record_operators(spark, messages):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_dir(spark, "x").endswith("/x")
+
+
+def test_one_parse_extracts_what_single_paths_do(spark):
+    texts = ['{"a":{"b":1.50,"c":"x"},"d":true,"e":[1,{"f":2}],"g":{"h": 1}}', '{"a":null}', "{}", "[1]", "{bad", None]
+    records = spark.createDataFrame([(t,) for t in texts], "record string")
+    paths = {"b": "$.a.b", "c": "$.a.c", "d": "$.d", "e": "$.e", "g": "$.g"}
+    assert paths_schema(paths.values()) is not None
+    single = records.select(*json_paths(F.col("record"), paths)).collect()
+    assert decode.extract_paths(records, paths).collect() == single
+    assert paths_schema(["$.e[1].f"]) is None
+    assert paths_schema(["$.a", "$.a.b"]) is None and paths_schema(["$.a.b", "$.a"]) is None
+    indexed = decode.extract_paths(records, {"f": "$.e[1].f"}).collect()
+    assert [r["f"] for r in indexed] == ["2"] + [None] * 5
