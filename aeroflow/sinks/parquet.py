@@ -46,17 +46,21 @@ class ParquetSink:
         return self._all(spark, table, ddl).join(committed, BATCH, "left_semi")
 
     def is_committed(self, spark: SparkSession, batch_id: int) -> bool:
-        done = self._all(spark, self.audit_table, "topic string")
-        return not done.where(F.col(BATCH) == batch_id).isEmpty()
+        # Looks into the one folder, however many batches there have been.
+        folder = self._folder(self.audit_table, batch_id)
+        return not _read_or_empty(spark, folder, "topic string").isEmpty()
 
     def _all(self, spark: SparkSession, table: str, ddl: str) -> DataFrame:
-        schema = f"{ddl}, {BATCH} bigint"
-        try:
-            return spark.read.schema(schema).parquet(f"{self.root}/{table}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], schema)
+        return _read_or_empty(spark, f"{self.root}/{table}", f"{ddl}, {BATCH} bigint")
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def write_clustered(rows: DataFrame, path: str, folder: str, within: list[str]) -> None:

@@ -96,8 +96,17 @@ def _from_offsets(start: Offsets) -> Column:
 
 
 def peek(records: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` records of a topic by partition and offset."""
-    return records.orderBy("partition", "offset").limit(n)
+    """The first ``n`` records of a topic by partition and offset.
+
+    Their positions are found without reading any value; fetching them then
+    skips all row groups they are not in.
+    """
+    position = ("partition", "offset")
+    first = records.select(*position).orderBy(*position).limit(n).collect()
+    wanted = F.lit(False)
+    for partition, offset in first:
+        wanted = wanted | ((F.col("partition") == partition) & (F.col("offset") == offset))
+    return records.where(wanted).orderBy(*position)
 
 
 def landing_pages(spark: SparkSession, path: str, topic: str) -> DataFrame:
