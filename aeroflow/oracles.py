@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from aeroflow.sources.generated import (
     CHILDREN_PER_MESSAGE,
+    FIRST_SEND,
     RESEND_WAVE,
+    STRAY_TOPIC,
     WAVE,
 )
 
@@ -119,6 +121,11 @@ from (select {column}, count(*) as n from flights where departure_iata = 'JFK' g
 cross join (select count(*) as t from flights where departure_iata = 'JFK')"""
 
 
+STRAY_ROWS = f"""select '{STRAY_TOPIC}' as topic, cast(event_id % 3 as int) as partition,
+  event_id // 3 as "offset", props as raw, 'missing_id' as reason from events
+union all
+select '{STRAY_TOPIC}', cast(event_id % 3 as int), event_id // 3, event_type, 'malformed' from events"""
+
 DAILY_DELAY = """(select flight_date, avg(departure_delay) as avg_delay from flights
   where departure_iata = 'JFK' and departure_delay is not null group by flight_date)"""
 
@@ -245,10 +252,12 @@ _MESSAGE_SQL = {
 union all
 select 'airports', partition, min("offset"), max("offset"), count(*), count(*), cast(0 as bigint)
   from airport_messages group by partition""",
-    "quarantine": """select 'events' as topic, cast(event_id % 3 as int) as partition, event_id // 3 as "offset",
-  props as raw, 'missing_id' as reason from events
-union all
-select 'events', cast(event_id % 3 as int), event_id // 3, event_type, 'malformed' from events""",
+    "quarantine": STRAY_ROWS,
+    "stream_rejects": STRAY_ROWS,
+    "stream_airport_freshness": _with(AIRPORT_MESSAGES)
+    + f"""select 'ap' || s_suppkey as airport_id,
+  make_timestamp(cast({FIRST_SEND} + max("offset" // {WAVE}) as bigint) * 1000000) as latest
+  from airport_messages group by s_suppkey""",
     "stream_ingest_audit": _with(
         AIRPORT_MESSAGES,
         """

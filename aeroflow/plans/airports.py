@@ -56,6 +56,7 @@ def value_by_airport(frequencies: DataFrame) -> DataFrame:
 def airports_with_value(frequencies: DataFrame, airports: DataFrame, *columns: str) -> DataFrame:
     """Airport columns with the airport's total.
 
+    ``airports`` must have one row per ``_id``, or totals would count twice.
     Frequencies are summed before the join, so both of its sides have one row
     per airport however many frequencies an airport has.
     """

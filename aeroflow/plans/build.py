@@ -13,8 +13,11 @@ from aeroflow.sources.tables import FLIGHT_MONTH
 
 
 def build_flights(messages: DataFrame, root: str) -> None:
+    store_flights(flatten.flights_from_messages(messages), root)
+
+
+def store_flights(flights: DataFrame, root: str) -> None:
     """Month folders, sorted by departure airport: a dashboard reads one airport."""
-    flights = flatten.flights_from_messages(messages)
     monthly = flights.withColumn(FLIGHT_MONTH, F.date_format("flight_date", "yyyy-MM"))
     write_clustered(monthly, f"{root}/flights", FLIGHT_MONTH, ["departure_iata", "flight_date"])
 

@@ -16,10 +16,17 @@ from aeroflow.plans import build
 from aeroflow.plans import flights as fl
 from aeroflow.session import fresh_dir
 from aeroflow.sinks import FileTopicSink, to_records
-from aeroflow.sources.generated import AIRPORTS_TOPIC, FLIGHTS_TOPIC
+from aeroflow.sources.generated import AIRPORTS_TOPIC, FLIGHTS_TOPIC, STRAY_TOPIC
 from aeroflow.sources.topics import peek
 from aeroflow.streaming import AIRPORT_JOB, FLIGHT_JOB
-from aeroflow.streaming.ingest import audit, ingested_airports
+from aeroflow.streaming.ingest import (
+    DOCUMENTS,
+    MESSAGE_POSITION,
+    REJECTS,
+    REJECTS_TABLE,
+    audit,
+    ingested_airports,
+)
 from aeroflow.workspace import Workspace, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,17 +225,8 @@ def ingest_audit(w: Workspace) -> DataFrame:
 
 @query
 def quarantine(w: Workspace) -> DataFrame:
-    """Event rows sent to the airports topic by mistake, among its own messages."""
-    events = w.given("events").withColumn("text", F.explode(F.array("props", "event_type")))
-    events = events.select(
-        F.lit(None).cast("binary").alias("key"),
-        F.col("text").cast("binary").alias("value"),
-        F.lit("events").alias("topic"),
-        F.expr("cast(event_id % 3 as int)").alias("partition"),
-        F.expr("event_id div 3").alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-    )
-    return decode.airport_rejects(w.messages(AIRPORTS_TOPIC).unionByName(events))
+    """What an airport job sets aside from its own topic and a topic of stray messages."""
+    return decode.airport_rejects(w.messages(AIRPORTS_TOPIC).unionByName(w.messages(STRAY_TOPIC)))
 
 
 # --- flight panels ----------------------------------------------------------
@@ -410,3 +408,18 @@ def stream_ingest_audit(w: Workspace) -> DataFrame:
     return entries.groupBy("topic", "partition").agg(
         *[F.sum(c).alias(c) for c in counted if c != "documents"]
     )
+
+
+@query
+def stream_rejects(w: Workspace) -> DataFrame:
+    """The rejects table of an airports job that was given a topic of stray messages."""
+    sink = w.ingested(STRAY_TOPIC)
+    return sink.read(w.spark, REJECTS, schemas.ddl_row(REJECTS_TABLE)).drop("batch_id")
+
+
+@query
+def stream_airport_freshness(w: Workspace) -> DataFrame:
+    """When the newest message about each airport was sent."""
+    ddl = schemas.ddl_row({"airport_id": "string"} | MESSAGE_POSITION)
+    documents = w.ingested(AIRPORTS_TOPIC).read(w.spark, DOCUMENTS, ddl)
+    return ap.freshness_by(documents, "airport_id", "timestamp")

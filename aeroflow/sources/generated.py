@@ -19,6 +19,7 @@ CHILDREN_PER_MESSAGE = 500
 PARTITIONS = 3
 FLIGHTS_TOPIC = "flights"
 AIRPORTS_TOPIC = "airports"
+STRAY_TOPIC = "strays"
 
 # Offsets rise with the wave a message is sent in: first pages, then later
 # pages, then repeats. They are unique within a partition but not gap-free, as
@@ -198,3 +199,16 @@ def airport_messages(
     return _messages(
         sent, AIRPORTS_TOPIC, "s_suppkey", wave, F.concat_ws("/", "s_suppkey", "page")
     )
+
+
+def stray_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event rows sent to an airport job by mistake: JSON without an id, and plain words."""
+    events = table(spark, sf_dir, "events")
+    return events.withColumn("text", F.explode(F.array("props", "event_type"))).select(
+        F.lit(None).cast("binary").alias("key"),
+        F.col("text").cast("binary").alias("value"),
+        F.lit(STRAY_TOPIC).alias("topic"),
+        F.expr(f"cast(event_id % {PARTITIONS} as int)").alias("partition"),
+        F.expr(f"event_id div {PARTITIONS}").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )

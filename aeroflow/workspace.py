@@ -20,13 +20,17 @@ from aeroflow.sources import generated
 from aeroflow.sources.tables import read_table
 from aeroflow.sources.topics import FileTopic
 from aeroflow.streaming import AIRPORT_JOB, FLIGHT_JOB, ingest
-from aeroflow.streaming.ingest import Job
 
 TOPICS = {
     generated.FLIGHTS_TOPIC: generated.flight_messages,
     generated.AIRPORTS_TOPIC: generated.airport_messages,
+    generated.STRAY_TOPIC: generated.stray_messages,
+}
+JOBS = {
+    generated.FLIGHTS_TOPIC: FLIGHT_JOB,
+    generated.AIRPORTS_TOPIC: AIRPORT_JOB,
+    generated.STRAY_TOPIC: AIRPORT_JOB,
 }
-JOBS = {generated.FLIGHTS_TOPIC: FLIGHT_JOB, generated.AIRPORTS_TOPIC: AIRPORT_JOB}
 
 
 class Workspace:

@@ -202,3 +202,20 @@ def test_many_small_batches_equal_one_build(spark, small_dir, tmp_path):
         assert ours == sorted(map(str, space.table(name).drop(*drop).collect()))
     assert build.count_tables(space.current_airport_messages()).first()["airports"] == len(
         current["airports"].collect())
+
+
+def test_command_line(spark, messages, place, tmp_path):
+    from aeroflow.sources.topics import KafkaTopic
+    from aeroflow.streaming.__main__ import arguments, main, topic_of
+
+    place.send(messages([flights("A", "B")]))
+    sink = ParquetSink(str(tmp_path / "cli"))
+    main(["flights", "--files", place.topic.path, "--tables", sink.root,
+          "--checkpoint", place.checkpoint, "--once"])
+    assert flights_in(spark, sink) == ["A", "B"]
+
+    base = ["airports", "--tables", "t", "--checkpoint", "c"]
+    args = arguments([*base, "--kafka", "broker:1", "--starting-offsets", "latest", "--max-offsets", "9"])
+    assert topic_of(args) == KafkaTopic("broker:1", "airports", "latest", 9)
+    with pytest.raises(SystemExit):
+        arguments(base)

@@ -83,6 +83,49 @@ def test_any_airports_survive_the_round_trip(messages, docs):
         assert mine == sent
 
 
+def some(fields):
+    return st.fixed_dictionaries({}, optional={
+        n: st.integers(-99, 999) if n == "delay" else text
+        for n in fields if n not in schemas.STOP_TIME_FIELDS
+    })
+
+
+flight = st.fixed_dictionaries(
+    {"flight": st.fixed_dictionaries({"iata": text}, optional={
+        "number": text, "icao": text, "codeshared": st.none() | some(schemas.CODESHARE_FIELDS)})},
+    optional={"flight_status": text, "airline": some(schemas.AIRLINE_FIELDS),
+              "departure": some(schemas.DEPARTURE_FIELDS), "arrival": some(schemas.ARRIVAL_FIELDS),
+              "flight_date": st.dates().map(str)},
+)
+
+
+def at(doc, *path):
+    for name in path:
+        doc = (doc or {}).get(name)
+    return doc
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(st.lists(flight, min_size=1, max_size=10))
+def test_any_flights_survive_the_round_trip(messages, docs):
+    for i, doc in enumerate(docs):
+        doc["flight"]["number"] = f"no{i}"
+    rows = flatten.flights_from_messages(messages([{"data": docs[1:]}, docs[0]])).collect()
+    assert len(rows) == len(docs)
+    for row in rows:
+        doc = docs[int(row["flight_number"][2:])]
+        assert (str(row["flight_date"]) if row["flight_date"] else None) == doc.get("flight_date")
+        for group, names in (("departure", schemas.DEPARTURE_FIELDS), ("arrival", schemas.ARRIVAL_FIELDS),
+                             ("airline", schemas.AIRLINE_FIELDS), ("flight", schemas.FLIGHT_NUMBER_FIELDS)):
+            for name in names:
+                assert row[f"{group}_{name}"] == at(doc, group, name)
+        for name in schemas.CODESHARE_FIELDS:
+            assert row[f"codeshared_{name}"] == at(doc, "flight", "codeshared", name)
+        sent = {k: v for k, v in doc["flight"].items() if v is not None}
+        assert json.loads(row["raw_json"])["flight"] == sent
+
+
 def test_latest_messages(messages):
     sent = messages([("k1", {"_id": "a"}), ("k2", {"_id": "b"}), (None, {"_id": "c"}), (None, {"_id": "c"})])
     again = messages([("k1", {"_id": "a2"})], first_offset=10, wave=1)
