@@ -16,6 +16,9 @@ HOME = "JFK"
 PANEL_DELAY = 22
 PANEL_UNIT = "min"
 
+# Fixed value: the time range the dashboards open with.
+DASHBOARD_HOURS = 6
+
 # Display names of the panels' columns.
 DAILY_FLIGHTS_LABELS = {"flight_date": "time", "n_flights": "Vols au départ de JFK"}
 DAILY_DELAY_LABELS = {"flight_date": "time", "avg_delay": "Retard moyen (minutes)"}
@@ -164,3 +167,9 @@ def selected_flights(
 
 def in_time_range(rows: DataFrame, column: str, low: Column, high: Column) -> DataFrame:
     return rows.where(F.col(column).between(low, high))
+
+
+def in_last_hours(rows: DataFrame, column: str, hours: int = DASHBOARD_HOURS) -> DataFrame:
+    """The dashboards' relative time range, ending now."""
+    now = F.current_timestamp()
+    return in_time_range(rows, column, now - F.make_dt_interval(hours=F.lit(hours)), now)

@@ -47,7 +47,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = _local_root()
     return "/".join([root.rstrip("/"), "aeroflow", spark.sparkContext.applicationId, *parts])

@@ -102,3 +102,10 @@ def test_freshness_is_one_aggregation(spark):
     rows = spark.createDataFrame([("a", 1), ("a", 5), ("b", 2)], "_id string, created_at int")
     assert ap.data_freshness(rows).first()[0] == 5
     assert {r[0]: r[1] for r in ap.freshness_by(rows).collect()} == {"a": 5, "b": 2}
+
+
+def test_relative_time_range(spark):
+    ages = spark.createDataFrame([(1,), (5,), (7,)], "hours int")
+    rows = ages.withColumn("at", F.current_timestamp() - F.make_dt_interval(hours=F.col("hours")))
+    assert sorted(r["hours"] for r in fl.in_last_hours(rows, "at").collect()) == [1, 5]
+    assert [r["hours"] for r in fl.in_last_hours(rows, "at", 2).collect()] == [1]
