@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH = "batch_id"
+PAGE_ROWS = 2000
 
 
 @dataclass(frozen=True)
@@ -68,13 +69,14 @@ def write_clustered(rows: DataFrame, path: str, folder: str, within: list[str])
 
     ``rebalance`` brings the rows of a folder together, but splits a folder that
     is larger than the advisory partition size over several tasks, so a hot
-    folder does not end up in one. Sorting within a file narrows the min/max
-    statistics that let scans skip row groups.
+    folder does not end up in one. Rows are sorted within a file and pages are
+    short: a filter on the first sort column then reads a few pages of a file.
     """
     (
         rows.hint("rebalance", F.col(folder))
         .sortWithinPartitions(folder, *within)
         .write.mode("overwrite")
         .partitionBy(folder)
+        .option("parquet.page.row.count.limit", PAGE_ROWS)
         .parquet(path)
     )

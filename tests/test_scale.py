@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from aeroflow.operators import decode
+from aeroflow.sinks.parquet import write_clustered
 from aeroflow.sources import generated
 from aeroflow.workspace import Workspace
 
@@ -138,3 +139,19 @@ def test_sql_text_over_the_views(spark, small_dir):
     )
     assert found.count() == 3
     assert spark.sql("select name from AIRPORTSINT where latitude between -90 and 90").count() == 10
+
+
+def test_one_airport_reads_few_pages(spark, tmp_path):
+    rows = spark.range(40_000).select(
+        F.lit("2025-01").alias("flight_month"),
+        F.concat(F.lit("A"), F.col("id") % 20).alias("departure_iata"),
+        F.col("id"),
+    )
+    write_clustered(rows, str(tmp_path / "t"), "flight_month", ["departure_iata"])
+    table = spark.read.parquet(str(tmp_path / "t"))
+    found = table.where("departure_iata = 'A7'").select("id")
+    executed = found._jdf.queryExecution().executedPlan()
+    assert executed.execute().count() == 2000
+    while executed.children().size():
+        executed = executed.children().apply(0)
+    assert executed.metrics().apply("numOutputRows").value() <= 8000

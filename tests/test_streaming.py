@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -130,6 +131,13 @@ def test_one_airport_in_several_messages_keeps_all_children(spark, messages, pla
     assert sorted(r["_id"] for r in current["frequencies"].collect()) == ["f1", "f2"]
 
 
+def test_empty_tables_are_not_written(spark, messages, place):
+    write_batch(AIRPORT_JOB, place.sink, AIRPORT_JOB.parse(messages([airport("A", "a", ["f"])])), 0)
+    assert sorted(os.listdir(place.sink.root)) == ["airports", "documents", "frequencies", "ingest_audit"]
+    write_batch(AIRPORT_JOB, place.sink, AIRPORT_JOB.parse(messages([])), 1)
+    assert not place.sink.is_committed(spark, 1)
+
+
 def test_audit_rows_and_observed_metrics(spark, messages, place):
     place.send(messages([airport("A", "a", ["f1", "f2"], ["r"]), "{oops"]))
     query = ingest(spark, AIRPORT_JOB, place.topic, place.sink, place.checkpoint)
