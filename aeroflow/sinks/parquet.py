@@ -32,7 +32,8 @@ class ParquetSink:
         """Nothing to prepare: a missing folder reads as an empty table."""
 
     def write(self, table: str, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(self._folder(table, batch_id))
+        writer = rows.write.mode("overwrite").option("parquet.page.row.count.limit", PAGE_ROWS)
+        writer.parquet(self._folder(table, batch_id))
 
     def commit(self, audit: DataFrame, batch_id: int) -> None:
         # At most one row per topic partition.

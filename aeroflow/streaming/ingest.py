@@ -110,7 +110,9 @@ def _flight_counts() -> dict[str, Column]:
 
 
 def _flight_tables(pages: DataFrame) -> dict[str, DataFrame]:
-    return {"flights": flatten.flatten_flights(decode.split_flights(pages))}
+    flights = flatten.flatten_flights(decode.split_flights(pages))
+    # A local sort, no shuffle: panels filter on the departure airport.
+    return {"flights": flights.sortWithinPartitions("departure_iata", "flight_date")}
 
 
 AIRPORT_JOB = Job(
