@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from aeroflow.functions import json_record
 
 
+# For files of whole documents. A reader decodes up to 4096 rows of a row group at
+# once; at some hundred kilobytes a document that would be gigabytes per task.
+WIDE_ROWS = {"parquet.block.size": str(4 * 2**20), "parquet.block.row.count.limit": "64"}
+
+
 def to_records(rows: DataFrame, key: Column | None = None) -> DataFrame:
     """``key`` and ``value`` of the messages that carry these rows."""
     key = F.lit(None) if key is None else key
@@ -37,16 +42,9 @@ class KafkaTopicSink:
 
 @dataclass(frozen=True)
 class FileTopicSink:
-    """A folder of Parquet files holding the record columns.
-
-    Row groups are small. A reader decodes up to 4096 rows of a row group at
-    once, and with values of some hundred kilobytes each a large row group would
-    put gigabytes of text into every task.
-    """
+    """A folder of Parquet files holding the record columns."""
 
     path: str
-    row_group_bytes: int = 4 * 2**20
 
     def publish(self, records: DataFrame, mode: str = "append") -> None:
-        writer = records.write.mode(mode).option("parquet.block.size", self.row_group_bytes)
-        writer.parquet(self.path)
+        records.write.mode(mode).options(**WIDE_ROWS).parquet(self.path)

@@ -1,7 +1,8 @@
 """The two ingest jobs.
 
-Parsing is part of the streaming plan. The batch callback writes the tables,
-then the rejected messages, then the audit rows that commit the batch. Nothing
+Parsing is part of the streaming plan. The batch callback stages the parsed
+documents, writes the tables, then the rejected messages, then the audit rows
+that commit the batch. Nothing
 is caught on the way: if a write fails the query fails, its offsets are not
 committed, and the next run gets the same batch again.
 """
@@ -12,7 +13,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Protocol
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from aeroflow import schemas
 from aeroflow.functions import array_size
 from aeroflow.operators import decode, dedup, flatten
+from aeroflow.sinks.topic import WIDE_ROWS
 
 REJECTS = "rejects"
 REJECTS_TABLE = {
@@ -77,8 +78,13 @@ def _count_where(test: Column) -> Column:
     return F.coalesce(F.sum(F.when(test, 1).otherwise(0)), F.lit(0)).cast("bigint")
 
 
+def _with_sizes(parsed: DataFrame, *arrays: str) -> DataFrame:
+    """Adds the size of each array, so that counting need not read the arrays."""
+    return parsed.withColumns({f"n_{a}": array_size(a) for a in arrays})
+
+
 def _total_size(array: str) -> Column:
-    return F.coalesce(F.sum(array_size(array)), F.lit(0)).cast("bigint")
+    return F.coalesce(F.sum(f"n_{array}"), F.lit(0)).cast("bigint")
 
 
 def _airport_counts() -> dict[str, Column]:
@@ -105,7 +111,7 @@ def _airport_tables(parsed: DataFrame) -> dict[str, DataFrame]:
 def _flight_counts() -> dict[str, Column]:
     return {
         "flights": _total_size("flights"),
-        REJECTS: _count_where(array_size("flights") == 0),
+        REJECTS: _count_where(F.col("n_flights") == 0),
     }
 
 
@@ -117,14 +123,16 @@ def _flight_tables(pages: DataFrame) -> dict[str, DataFrame]:
 
 AIRPORT_JOB = Job(
     "airports",
-    lambda records: decode.parse_airports(records, keep_raw=True),
+    lambda records: _with_sizes(
+        decode.parse_airports(records, keep_raw=True), "frequencies", "runways"
+    ),
     _airport_counts,
     _airport_tables,
     decode.rejected_airports,
 )
 FLIGHT_JOB = Job(
     "flights",
-    lambda records: decode.parse_flight_pages(records, keep_raw=True),
+    lambda records: _with_sizes(decode.parse_flight_pages(records, keep_raw=True), "flights"),
     _flight_counts,
     _flight_tables,
     decode.rejected_pages,
@@ -141,23 +149,32 @@ def audit(job: Job, parsed: DataFrame) -> DataFrame:
     )
 
 
-def write_batch(job: Job, sink: Sink, parsed: DataFrame, batch_id: int) -> None:
+def staged(documents: DataFrame, path: str) -> DataFrame:
+    """Parsed documents of one batch, written out and read back.
+
+    Several tables are made of a batch that should be parsed, and fetched, once.
+    A table rather than a cache: cached blocks hold many whole documents per
+    task in memory, are lost with their executor, and are read whole, while each
+    output here reads only the columns it needs. The next batch overwrites it.
+    """
+    documents.write.mode("overwrite").options(**WIDE_ROWS).parquet(path)
+    return documents.sparkSession.read.schema(documents.schema).parquet(path)
+
+
+def write_batch(job: Job, sink: Sink, parsed: DataFrame, batch_id: int, stage: str) -> None:
     spark = parsed.sparkSession
     if sink.is_committed(spark, batch_id):
         return
-    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # One row per topic partition; also the first use, which fills the cache.
-        entries = audit(job, parsed).collect()
-        totals = {name: sum(e[name] for e in entries) for name in job.counts()}
-        outputs = job.tables(parsed) | {REJECTS: job.rejects(parsed)}
-        for table, rows in outputs.items():
-            if totals[table]:
-                sink.write(table, rows, batch_id)
-        if entries:
-            sink.commit(spark.createDataFrame(entries, job.audit_ddl()), batch_id)
-    finally:
-        parsed.unpersist()
+    documents = staged(parsed, stage)
+    # One row per topic partition.
+    entries = audit(job, documents).collect()
+    totals = {name: sum(e[name] for e in entries) for name in job.counts()}
+    outputs = job.tables(documents) | {REJECTS: job.rejects(documents)}
+    for table, rows in outputs.items():
+        if totals[table]:
+            sink.write(table, rows, batch_id)
+    if entries:
+        sink.commit(spark.createDataFrame(entries, job.audit_ddl()), batch_id)
 
 
 def start(
@@ -169,7 +186,12 @@ def start(
     *,
     until_caught_up: bool = False,
 ) -> StreamingQuery:
-    """Starts a job: until stopped, or until the topic as it is now is read."""
+    """Starts a job: until stopped, or until the topic as it is now is read.
+
+    ``checkpoint`` is a folder all executors reach; the batch being written is
+    staged next to it.
+    """
+    stage = checkpoint.rstrip("/") + "-stage"
     sink.open(spark, job.audit_ddl())
     metrics = [F.count("*").alias("messages")]
     metrics += [column.alias(name) for name, column in job.counts().items()]
@@ -178,7 +200,7 @@ def start(
         parsed.writeStream.queryName(f"ingest_{job.name}")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: write_batch(job, sink, batch, batch_id))
+        .foreachBatch(lambda batch, batch_id: write_batch(job, sink, batch, batch_id, stage))
     )
     if until_caught_up:
         writer = writer.trigger(availableNow=True)

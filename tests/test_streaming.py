@@ -35,6 +35,7 @@ def place(tmp_path):
         topic = FileTopic(str(tmp_path / "topic"), max_files_per_trigger=1)
         sink = ParquetSink(str(tmp_path / "sink"))
         checkpoint = str(tmp_path / "checkpoint")
+        stage = str(tmp_path / "stage")
 
         def send(self, frame):
             frame.coalesce(1).write.mode("append").parquet(self.topic.path)
@@ -102,7 +103,7 @@ def test_a_failing_sink_loses_and_doubles_nothing(spark, messages, place):
 def test_a_replayed_batch_is_written_once(spark, messages, place):
     parsed = AIRPORT_JOB.parse(messages([airport("A", "a", ["f1"])]))
     for _ in range(2):
-        write_batch(AIRPORT_JOB, place.sink, parsed, 7)
+        write_batch(AIRPORT_JOB, place.sink, parsed, 7, place.stage)
     rows = place.sink.read(spark, "frequencies", schemas.ddl_row(schemas.FREQUENCIES_TABLE))
     assert [r["batch_id"] for r in rows.collect()] == [7]
 
@@ -132,9 +133,9 @@ def test_one_airport_in_several_messages_keeps_all_children(spark, messages, pla
 
 
 def test_empty_tables_are_not_written(spark, messages, place):
-    write_batch(AIRPORT_JOB, place.sink, AIRPORT_JOB.parse(messages([airport("A", "a", ["f"])])), 0)
+    write_batch(AIRPORT_JOB, place.sink, AIRPORT_JOB.parse(messages([airport("A", "a", ["f"])])), 0, place.stage)
     assert sorted(os.listdir(place.sink.root)) == ["airports", "documents", "frequencies", "ingest_audit"]
-    write_batch(AIRPORT_JOB, place.sink, AIRPORT_JOB.parse(messages([])), 1)
+    write_batch(AIRPORT_JOB, place.sink, AIRPORT_JOB.parse(messages([])), 1, place.stage)
     assert not place.sink.is_committed(spark, 1)
 
 
