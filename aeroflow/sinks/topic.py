@@ -12,8 +12,9 @@ from aeroflow.functions import json_record
 
 
 # For files of whole documents. A reader decodes up to 4096 rows of a row group at
-# once; at some hundred kilobytes a document that would be gigabytes per task.
-WIDE_ROWS = {"parquet.block.size": str(4 * 2**20), "parquet.block.row.count.limit": "64"}
+# once; at some hundred kilobytes a document that would be gigabytes per task. The
+# size is looked at after every ten rows, as ten documents can already fill it.
+WIDE_ROWS = {"parquet.block.size": str(4 * 2**20), "parquet.page.size.row.check.min": "10"}
 
 
 def to_records(rows: DataFrame, key: Column | None = None) -> DataFrame:
