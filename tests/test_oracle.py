@@ -4,9 +4,10 @@ import pytest
 from compare import connect, duck_rows, spark_rows
 
 import __spark_entry__ as contract
+from aeroflow import oracles
+from aeroflow.registry import QUERIES
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,8 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
