@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroflow.llm import decontaminate, exact_dedup, mixing, sharding, simhash, toxicity
+from aeroflow.llm import decontaminate, exact_dedup, mixing, rlz_dedup, sharding, simhash, toxicity
 from aeroflow.llm.common import table
 from aeroflow.session import prepare
 
@@ -36,6 +36,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(docs, benchmark)
 
 
+def op7_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rlz_dedup.without_repeats(table(prepare(spark), sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(prepare(spark), sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_toxicity": op4_toxicity,
     "op6_decontamination": op6_decontamination,
+    "op7_rlz_dedup": op7_rlz_dedup,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_exact_dedup": op10_exact_dedup,
