@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroflow.llm import decontaminate, exact_dedup, mixing, rlz_dedup, sharding, simhash, toxicity
+from aeroflow.llm import decontaminate, exact_dedup, mixing, rlz_dedup, sharding, simhash, suffix_dedup, toxicity
 from aeroflow.llm.common import table
 from aeroflow.session import prepare
 
@@ -21,6 +21,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(table(prepare(spark), sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -60,6 +65,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_toxicity": op4_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_rlz_dedup": op7_rlz_dedup,

@@ -70,6 +70,10 @@ class RangeHash:
         length = (stop - start).astype(np.uint64)
         return mixed((self.sums[stop] - self.sums[start]) * self.back[start] + length)
 
+    def runs(self, length: int) -> np.ndarray:
+        """Hashes of the ranges of one length, from every place."""
+        return mixed((self.sums[length:] - self.sums[:-length]) * self.back[:-length] + np.uint64(length))
+
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Least value of each run of ``width``, by doubling."""
@@ -134,16 +138,22 @@ def anchors(units: Units, shape: Shape) -> Anchors:
     n = len(units)
     for at in range(0, max(0, n - shape.window + 1), BLOCK):
         stop = min(n - shape.window + 1, at + BLOCK)
-        grams = np.arange(at, stop + shape.choices - 1)
-        a, b = units.first_byte(grams), units.last_byte(grams + shape.gram)
-        base = int(a[0])
-        h = RangeHash(units.text[base : int(b[-1])])(a - base, b - base)
+        if units.starts is None:
+            h = RangeHash(units.text[at : stop + shape.window - 1]).runs(shape.gram)
+        else:
+            grams = np.arange(at, stop + shape.choices - 1)
+            a, b = units.first_byte(grams), units.last_byte(grams + shape.gram)
+            base = int(a[0])
+            h = RangeHash(units.text[base : int(b[-1])])(a - base, b - base)
         low = np.uint64((1 << _PLACE_BITS) - 1)
         least = sliding_min(h & ~low | np.arange(len(h), dtype=np.uint64), shape.choices)
         place = at + (least & low).astype(np.int64)
         window = np.arange(at, stop)
-        doc = np.searchsorted(units.ends, window, side="right")
-        inside = window + shape.window <= units.ends[doc]
+        low_doc, high_doc = np.searchsorted(units.ends, [at, stop - 1], side="right")
+        ends = units.ends[low_doc : high_doc + 1]
+        held = np.diff(np.minimum(ends, stop), prepend=at)
+        doc = np.repeat(np.arange(low_doc, high_doc + 1), held)
+        inside = window + shape.window <= np.repeat(ends, held)
         window, place, doc = window[inside], place[inside], doc[inside]
         if not len(window):
             continue
