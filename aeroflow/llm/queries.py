@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroflow.llm import decontaminate, exact_dedup, mixing, rlz_dedup, sharding, simhash, suffix_dedup, toxicity
+from aeroflow.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    mixing,
+    rlz_dedup,
+    sharding,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 from aeroflow.llm.common import table
 from aeroflow.session import prepare
 
@@ -26,6 +37,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.with_running_sums(token_counts.histogram(table(prepare(spark), sf_dir, "documents")))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -36,6 +51,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.train(table(prepare(spark), sf_dir, "documents"))
+    return language_id.languages_of(table(spark, sf_dir, "pages"), model)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.leaks(docs, benchmark)
@@ -66,7 +86,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
+    "op5_language_id": op5_language_id,
     "op6_decontamination": op6_decontamination,
     "op7_rlz_dedup": op7_rlz_dedup,
     "op8_mixing": op8_mixing,
