@@ -265,7 +265,8 @@ def keep_one(
     firsts = least.join(ids, least["_id"].eqNullSafe(ids["_id"])).select("root", least["_id"], "n")
     firsts = stored(firsts, "firsts")
     plain = firsts.where("n = 1 and _id is not null").select(F.col("_id").alias(id_col))
-    kept = docs.join(plain, id_col, "left_semi").select(*columns(docs))
+    # The ids that stay are most of all ids: a plan that sends them everywhere would not last.
+    kept = docs.join(plain.hint("merge"), id_col, "left_semi").select(*columns(docs))
     doubtful = firsts.where("n > 1 or _id is null").select(F.col("root").alias("_root"), F.col("_id").alias("_first"))
     if doubtful.isEmpty():
         return kept
