@@ -166,6 +166,14 @@ class _Benchmark:
         return sorted(out)
 
 
+def _shares(bench: _Benchmark, text: str, known: dict[str, int]) -> Iterator[tuple[object, float, int, int]]:
+    """Item, coverage, number of tiles and longest tile of each item that shares a seed with the text."""
+    codes = word_codes(words_of(text), known)
+    for i in bench.candidates(codes):
+        item_id, item = bench.items[i]
+        yield item_id, *coverage(item, codes, bench.least)
+
+
 _PAIR = "item_id {kind}, coverage double, n_tiles int, longest int"
 
 
@@ -216,12 +224,7 @@ def _by_broadcast(rows: DataFrame, items: DataFrame, least: int, threshold: floa
             found = []
             known = dict(bench.known)
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                codes = word_codes(words_of(text.as_py()), known)
-                for i in bench.candidates(codes):
-                    item_id, item = bench.items[i]
-                    share, n, longest = coverage(item, codes, least)
-                    if share >= threshold:
-                        found.append((doc_id, item_id, share, n, longest))
+                found += [(doc_id, *pair) for pair in _shares(bench, text.as_py(), known) if pair[1] >= threshold]
             yield _to_batch(found, _arrow_schema(batch.schema.field(0).type, item_type))
 
     return rows.mapInArrow(run, schema)
@@ -278,15 +281,30 @@ def _by_join(rows: DataFrame, items: DataFrame, least: int, threshold: float) ->
 
 def clean(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_text: str = "text",
-    least: int = LEAST_MATCH, threshold: float = COVERAGE,
+    least: int = LEAST_MATCH, threshold: float = COVERAGE, broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows of ``docs`` that leak no benchmark item, all columns kept.
 
-    Rows are told apart by their text, which alone decides; NULL and blank texts stay.
+    A row's text alone decides; NULL and blank texts stay. With a benchmark small enough for every task
+    this is one pass without any join; otherwise leaking texts are found first and joined by digest.
     """
-    text = F.sha2(text_of(text_col), 256)
-    mark = unused_name("_digest", docs.columns)
-    items = benchmark.select(F.monotonically_increasing_id().alias("item_id"), F.col(item_text).alias("text"))
-    texts = docs.select(text.alias("_digest"), F.col(text_col).alias("_body"))
-    leaked = stored(leaks(texts, items, "_digest", "_body", least=least, threshold=threshold), "leaked")
-    return docs.join(leaked.select(F.col("_digest").alias(mark)).distinct(), text == F.col(mark), "left_anti")
+    items = benchmark.select(F.monotonically_increasing_id().alias("item_id"), text_of(item_text).alias("item_text"))
+    size = items.agg(F.sum(F.octet_length("item_text") + 16)).first()[0] or 0
+    if size > broadcast_bytes:
+        text, mark = F.sha2(text_of(text_col), 256), unused_name("_digest", docs.columns)
+        texts = docs.select(text.alias("_id"), text_of(text_col).alias("_text"))
+        leaked = stored(_by_join(texts, items, least, threshold), "leaked")
+        return docs.join(leaked.select(F.col("_id").alias(mark)).distinct(), text == F.col(mark), "left_anti")
+    body = unused_name("_body", docs.columns)
+    held = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in items.collect()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bench = _Benchmark(held.value, least)
+        for batch in batches:
+            known = dict(bench.known)
+            texts = batch.column(batch.num_columns - 1)
+            keep = [not any(share >= threshold for _, share, _, _ in _shares(bench, t.as_py(), known)) for t in texts]
+            kept = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(kept.columns[:-1], kept.schema.names[:-1])
+
+    return docs.withColumn(body, text_of(text_col)).mapInArrow(run, docs.schema)

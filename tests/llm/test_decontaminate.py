@@ -98,11 +98,12 @@ def test_awkward_rows_by_either_way(spark):
         assert (101, 1) not in {(d, i) for d, i, *_ in expected}
         assert plain(dec.leaks(docs, bench)) == expected
         assert plain(dec.leaks(docs, bench, broadcast_bytes=0)) == expected
-        kept = dec.clean(docs, bench)
-        assert kept.columns == docs.columns
         leaked = {d for d, *_ in expected}
         left = sorted(str(r[0]) for r in rows if r[0] not in leaked)
-        assert sorted(str(r["doc_id"]) for r in kept.collect()) == left
+        for way in (0, 1 << 20):
+            kept = dec.clean(docs, bench, broadcast_bytes=way)
+            assert kept.columns == docs.columns
+            assert sorted(str(r["doc_id"]) for r in kept.collect()) == left
 
 
 def test_empty_tables(spark):
