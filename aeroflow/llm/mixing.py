@@ -9,22 +9,16 @@ that bucket's rows are sorted to find the exact cut.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aeroflow.llm.common import columns, stored, text_of, unused_name, word_count
+from aeroflow.llm.common import columns, stored, text_of, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 ROWS_PER_BUCKET = 8192
 KEY_BITS = 60
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
 
 def random_key(doc_id: Column, text: Column) -> Column:
     """A number below 2^60 that depends on id and text only."""
@@ -159,14 +153,10 @@ def mix_plan(
     )
 
 
-def first_words(text: str, n: int) -> str:
-    """``text`` up to the end of its n-th word."""
-    end = 0
-    for i, word in enumerate(_WORD.finditer(text)):
-        if i == n:
-            break
-        end = word.end()
-    return text[:end]
+def first_words(text: Column, n: Column) -> Column:
+    """``text`` up to the end of its n-th word, spaces as they are."""
+    parts = F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")  # each ends with a word
+    return F.array_join(F.slice(parts, 1, n.cast("int")), "")
 
 
 def mixed(
@@ -180,23 +170,18 @@ def mixed(
     """
     rows = stored(_key_rows(docs, id_col, text_col, source_col), "mixkeys")
     mix = Mix(rows, weights, max_epochs)
-    key, size, source, copy = (unused_name(n, docs.columns) for n in ("_key", "_size", "_of", "_copy"))
     text = text_of(text_col)
-    keyed = docs.withColumns({
-        key: random_key(F.col(id_col), text), size: word_count(text), source: F.col(source_col).cast("string"),
-    })
-    body = keyed.select(F.struct(*columns(docs)).alias("_row"), key, size, source)
-    placed = mix.apply(body, source, key, size)
-    whole = F.array_repeat(F.col(size), F.col("epochs").cast("int"))
+    packed = docs.select(
+        F.struct(*columns(docs)).alias("_row"), random_key(F.col(id_col), text).alias("_key"),
+        word_count(text).alias("_words"), F.col(source_col).cast("string").alias("_of"),
+    )
+    placed = mix.apply(packed, "_of", "_key", "_words")
+    whole = F.array_repeat(F.col("_words"), F.col("epochs").cast("int"))
     copies = F.when(F.col("extra") > 0, F.concat(whole, F.array("extra"))).otherwise(whole)
-    copies = F.when(F.col(size) > 0, copies).otherwise(F.array().cast("array<bigint>"))
-    rounds = placed.select("_row", F.col(size).alias("_words"), F.explode(copies).alias("_taken"))
-    complete = rounds.where("_taken = _words").select("_row.*")
-
-    def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            texts = [first_words(t, n) for t, n in zip(part[text_col], part[copy], strict=True)]
-            yield part.assign(**{text_col: texts}).drop(columns=[copy])
-
-    partial = rounds.where("_taken < _words").select("_row.*", F.col("_taken").alias(copy))
-    return complete.unionByName(partial.mapInPandas(cut, docs.schema))
+    copies = F.when(F.col("_words") > 0, copies).otherwise(F.array().cast("array<bigint>"))
+    body = placed.select("_row", "_words", F.explode(copies).alias("_taken"))
+    whole_text = F.col("_row").getField(text_col)
+    shortened = F.when(F.col("_taken") < F.col("_words"), first_words(whole_text, F.col("_taken"))).otherwise(whole_text)
+    return body.select(*(
+        (shortened if name == text_col else F.col("_row").getField(name)).alias(name) for name in docs.columns
+    ))

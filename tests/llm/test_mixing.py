@@ -84,7 +84,8 @@ def test_only_blank_texts(spark):
     assert mixing.mixed(docs).collect() == []
 
 
-def test_first_words():
-    assert mixing.first_words(" a  b\tc ", 2) == " a  b"
-    assert mixing.first_words("a", 5) == "a"
-    assert mixing.first_words("a b", 0) == ""
+def test_first_words(spark):
+    rows = [(" a  b\tc ", 2), ("a", 5), ("a b", 0), ("é\x0bß 🙂 x", 3), ("", 1), ("  ", 1), ("a b ", 2)]
+    frame = spark.createDataFrame(rows, "t string, n bigint")
+    found = frame.select(mixing.first_words(frame["t"], frame["n"])).collect()
+    assert [r[0] for r in found] == [" a  b", "a", "", "é\x0bß 🙂 x"[:5], "", "  ", "a b"]
