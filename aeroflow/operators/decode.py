@@ -26,64 +26,111 @@ from aeroflow.functions import (
 )
 
 RAW = "raw"
+# Holds a document's text if any of its fields did not have the declared type.
+CORRUPT = "_corrupt"
+CHILDREN = {"frequencies": schemas.FREQUENCY_FIELDS, "runways": schemas.RUNWAY_FIELDS}
 
 
-def open_document(messages: DataFrame, fields: dict[str, str], *keep: str | Column) -> DataFrame:
-    """One row per message: the kept columns, then one column per document field."""
-    doc = F.from_json(message_text(F.col("value")), schemas.ddl_row(fields))
+def open_document(
+    messages: DataFrame, fields: dict[str, str], *keep: str | Column, corrupt: bool = False
+) -> DataFrame:
+    """One row per message: the kept columns, then one column per document field.
+
+    ``corrupt`` adds ``_corrupt``, the text of documents of which a field was lost.
+    """
+    shape, options = fields, {}
+    if corrupt:
+        shape, options = fields | {CORRUPT: "string"}, {"columnNameOfCorruptRecord": CORRUPT}
+    doc = F.from_json(message_text(F.col("value")), schemas.ddl_row(shape), options)
     return messages.select(*keep, F.inline(F.array(doc)))
 
 
+def _good_elements(text: Column, array: str, fields: dict[str, str]) -> Column:
+    """The objects in an array that did not parse as a whole, each parsed by itself.
+
+    One bad element so costs one element. An object in place of the array is its only element.
+    """
+    raw = F.from_json(text, f"`{array}` string")[array]
+    items = F.flatten(F.transform(F.array(raw), lambda json: F.when(
+        json.startswith("{"), F.array(json)).otherwise(F.from_json(json, "array<string>"))))
+    objects = F.filter(items, lambda item: item.startswith("{"))
+    return F.transform(objects, lambda item: F.from_json(item, schemas.ddl_row(fields)))
+
+
 def parse_airports(
     messages: DataFrame, fields: Iterable[str] | None = None, *, keep_raw: bool = False
 ) -> DataFrame:
     """Airport documents with their source columns.
 
     ``fields`` narrows the parse to the document fields a caller needs. A value
-    that is no airport document gives a row without an ``_id``; ``keep_raw``
-    adds the text of those rows as ``raw``.
+    that is no airport document gives a row without an ``_id``; a field of another
+    type is NULL, of children only those that are no objects are lost. ``keep_raw`` adds the
+    text of both kinds as ``raw``.
     """
     chosen = schemas.AIRPORT_DOC
     if fields is not None:
         chosen = {name: chosen[name] for name in fields}
     source = ["key", *schemas.SOURCE_COLUMNS]
-    if not keep_raw:
+    children = [name for name in CHILDREN if name in chosen]
+    if not keep_raw and not children:
         return open_document(messages, chosen, *source)
-    raw = F.when(F.col("_id").isNull(), message_text(F.col("value")))
-    opened = open_document(messages, chosen, *source, "value")
-    return opened.withColumn(RAW, raw).drop("value")
+    opened = open_document(messages, chosen, *source, "value", corrupt=True)
+    text = message_text(F.col("value"))
+    lost = F.col(CORRUPT).isNotNull()
+    repaired = {
+        name: F.when(lost & F.col(name).isNull(), _good_elements(text, name, CHILDREN[name])).otherwise(F.col(name))
+        for name in children
+    }
+    if keep_raw:
+        repaired[RAW] = F.when(F.col("_id").isNull() | lost, text)
+    columns = [repaired.get(name, F.col(name)).alias(name) for name in [*chosen, *([RAW] if keep_raw else ())]]
+    # Once more as the output of a generator, so that the repair is not repeated above.
+    return opened.select(*source, F.inline(F.array(F.struct(*columns))))
 
 
 def with_id(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("_id").isNotNull())
 
 
+def is_rejected_airport() -> Column:
+    """No airport, or an airport of which something was lost."""
+    return F.col("_id").isNull() | F.col(RAW).isNotNull()
+
+
 def airport_rejects(messages: DataFrame) -> DataFrame:
-    """Messages that hold no airport, with their text and the reason."""
-    return rejected_airports(parse_airports(messages, ["_id"], keep_raw=True))
+    """Messages that hold no airport, or not all of one, with their text and the reason."""
+    return rejected_airports(parse_airports(messages, keep_raw=True))
 
 
 def rejected_airports(parsed: DataFrame) -> DataFrame:
-    return _rejects(parsed.where(F.col("_id").isNull()), "missing_id")
+    return _rejects(parsed.where(is_rejected_airport()), F.col("_id").isNull(), "missing_id")
 
 
 def parse_flight_pages(messages: DataFrame, *, keep_raw: bool = False) -> DataFrame:
     """One row per message with ``flights``, the array of flights it holds.
 
     A message is either a page ``{"data": [...]}`` or a single flight without
-    the page around it. ``flights`` is NULL or empty when it is neither;
-    ``keep_raw`` adds the text of those rows as ``raw``.
+    the page around it. ``flights`` is NULL or empty when it is neither; elements that
+    hold no field of a flight are left out. ``keep_raw`` adds the text of messages without
+    flights, and of those of which something was lost, as ``raw``.
     """
     source = ["key", *schemas.SOURCE_COLUMNS]
-    opened = open_document(messages, schemas.FLIGHT_MESSAGE_DOC, *source, "value")
+    opened = open_document(messages, schemas.FLIGHT_MESSAGE_DOC, *source, "value", corrupt=True)
+    text, lost = message_text(F.col("value")), F.col(CORRUPT).isNotNull()
     fields = [F.col(name) for name in schemas.FLIGHT_DOC]
-    is_flight = functools.reduce(operator.or_, (f.isNotNull() for f in fields))
-    bare_flight = F.when(is_flight, F.array(F.struct(*fields)))
-    pages = opened.select(*source, "value", F.coalesce("data", bare_flight).alias("flights"))
+    bare_flight = F.when(_any_value(fields), F.array(F.struct(*fields)))
+    data = F.when(lost & F.col("data").isNull(), _good_elements(text, "data", schemas.FLIGHT_DOC)).otherwise(F.col("data"))
+    sent = opened.select(*source, "value", CORRUPT, F.explode(F.array(F.coalesce(data, bare_flight))).alias("sent"))
+    flights = F.filter("sent", lambda f: _any_value([f[name] for name in schemas.FLIGHT_DOC]))
+    pages = sent.withColumn("flights", flights)
     if keep_raw:
-        raw = F.when(array_size("flights") == 0, message_text(F.col("value")))
-        pages = pages.withColumn(RAW, raw)
-    return pages.drop("value")
+        missing = array_size("flights") < F.greatest(array_size("sent"), F.lit(1))
+        pages = pages.withColumn(RAW, F.when(missing | F.col(CORRUPT).isNotNull(), text))
+    return pages.drop("value", CORRUPT, "sent")
+
+
+def _any_value(fields: Iterable[Column]) -> Column:
+    return functools.reduce(operator.or_, (f.isNotNull() for f in fields))
 
 
 def split_flights(pages: DataFrame, *keep: str) -> DataFrame:
@@ -95,14 +142,21 @@ def flight_rejects(messages: DataFrame) -> DataFrame:
     return rejected_pages(parse_flight_pages(messages, keep_raw=True))
 
 
+def is_rejected_page() -> Column:
+    """No flights, or a page of which something was lost."""
+    return (array_size("flights") == 0) | F.col(RAW).isNotNull()
+
+
 def rejected_pages(pages: DataFrame) -> DataFrame:
-    return _rejects(pages.where(array_size("flights") == 0), "no_flights")
+    return _rejects(pages.where(is_rejected_page()), array_size("flights") == 0, "no_flights")
 
 
-def _rejects(rows: DataFrame, otherwise: str) -> DataFrame:
+def _rejects(rows: DataFrame, nothing: Column, otherwise: str) -> DataFrame:
+    """Text and reason; a message that gave something has a ``bad_field``."""
     text = F.col(RAW)
     reason = (
-        F.when(text.isNull() | (F.trim(text) == ""), F.lit("empty"))
+        F.when(~nothing, F.lit("bad_field"))
+        .when(text.isNull() | (F.trim(text) == ""), F.lit("empty"))
         .when(F.try_parse_json(text).isNull(), F.lit("malformed"))
         .otherwise(F.lit(otherwise))
     )

@@ -31,35 +31,41 @@ def latest_by(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     )
 
 
-def repeated_keys(messages: DataFrame) -> DataFrame:
-    """Keys sent more than once, with the position of their newest record.
+def sender() -> Column:
+    """What a later message must share to replace an airport's message: its key, or without one its id."""
+    return F.coalesce("key", F.col("_id").cast("binary")).alias("sender")
 
-    Reads no message values. Records without a key never count as repeats.
+
+def repeated_documents(parsed: DataFrame) -> DataFrame:
+    """Documents sent more than once, with the position of the newest.
+
+    Only messages that hold a document count: a malformed one replaces nothing, and one with
+    another id under the same key is another airport.
     """
     return (
-        messages.where(F.col("key").isNotNull())
-        .groupBy("topic", "key")
+        parsed.where(F.col("_id").isNotNull())
+        .groupBy("topic", "_id", sender())
         .agg(F.count("*").alias("copies"), F.max(arrival_order()).alias("newest"))
         .where("copies > 1")
-        .select("topic", "key", "newest")
+        .select("topic", "_id", "sender", "newest")
     )
 
 
-def latest_messages(messages: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
-    """The log-compacted view of a topic: per key the newest record.
+def current_documents(parsed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Parsed messages without those that a newer one replaces.
 
     Give ``repeated`` as a stored table where the topic is large: its true size
     then decides the join. Few repeats are broadcast and no document is
     shuffled; many are joined by sort-merge, where AQE can split a hot key.
     """
-    current = messages.alias("m")
-    again = (repeated_keys(messages) if repeated is None else repeated).alias("r")
+    again = repeated.select(*[F.col(c).alias(f"repeated_{c}") for c in repeated.columns])
     superseded = (
-        (F.col("m.topic") == F.col("r.topic"))
-        & (F.col("m.key") == F.col("r.key"))
-        & (F.struct(*[F.col(f"m.{c}") for c in ARRIVAL_ORDER]) < F.col("r.newest"))
+        (F.col("topic") == F.col("repeated_topic"))
+        & (F.col("_id") == F.col("repeated__id"))
+        & (sender() == F.col("repeated_sender"))
+        & (arrival_order() < F.col("repeated_newest"))
     )
-    return current.join(again, superseded, "left_anti")
+    return parsed.join(again, superseded, "left_anti")
 
 
 def dedup_batch(airports: DataFrame) -> DataFrame:

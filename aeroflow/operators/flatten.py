@@ -13,6 +13,7 @@ from aeroflow.operators.decode import (
     split_flights,
     with_id,
 )
+from aeroflow.operators.dedup import current_documents
 
 WRITER = "spark"
 LATITUDE = "$.coordinates[1]"
@@ -146,9 +147,17 @@ def explode_runways(parsed: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def frequencies_from_messages(messages: DataFrame) -> DataFrame:
-    return explode_frequencies(with_id(parse_airports(messages, ["_id", "frequencies"])))
+def documents(
+    messages: DataFrame, fields: list[str], repeated: DataFrame | None = None
+) -> DataFrame:
+    """Airport documents, narrowed to some fields, without replaced ones if ``repeated`` is given."""
+    parsed = with_id(parse_airports(messages, fields))
+    return parsed if repeated is None else current_documents(parsed, repeated)
 
 
-def runways_from_messages(messages: DataFrame) -> DataFrame:
-    return explode_runways(with_id(parse_airports(messages, ["_id", "runways"])))
+def frequencies_from_messages(messages: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    return explode_frequencies(documents(messages, ["_id", "frequencies"], repeated))
+
+
+def runways_from_messages(messages: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    return explode_runways(documents(messages, ["_id", "runways"], repeated))

@@ -165,6 +165,11 @@ _FLIGHT_SQL = {
     where departure_iata = 'JFK' group by flight_date)""",
     "delay_bands": f"""select flight_date, avg_delay,
   case when avg_delay >= 80 then 'red' else 'green' end as band from {DAILY_DELAY}""",
+    "percentage_bands": f"""select flight_date, avg_delay,
+  case when mx > mn and (avg_delay - mn) / (mx - mn) * 100 >= 80 then 'red' else 'green' end as band
+from {DAILY_DELAY} cross join (select min(avg_delay) as mn, max(avg_delay) as mx from {DAILY_DELAY})""",
+    "display_names": """select flight_date as time, count(*) as "Vols au départ de JFK" from flights
+  where departure_iata = 'JFK' group by flight_date""",
     "delay_alerts": f"select flight_date, avg_delay from {DAILY_DELAY} where avg_delay >= 80",
     "airline_share": _share("airline_name"),
     "status_share": _share("flight_status"),
@@ -189,6 +194,11 @@ _AIRPORT_SQL = {
     "airports_clean": "select _id, icao_code, latitude, longitude from airportsint where icao_code is not null",
     "airports_bbox": """select name, latitude, longitude from airportsint
   where latitude between 40.0 and 50.0 and longitude between -5.0 and 180.0""",
+    "airports_reference_box": """select name, latitude, longitude from airportsint
+  where latitude between 40.0 and 50.0 and longitude between -5.0 and 10.0""",
+    "enriched_airports": """select _id, icao_code, 0 as geoid_height, 0 as hae, 'spark' as created_by,
+  'spark' as updated_by, 1 as v_version, cast(null as double) as magnetic_declination, 0 as n_traffic_types
+  from airportsint where icao_code is not null""",
     "airport_geo_points": """select name, latitude, longitude from airportsint
   where latitude is not null and icao_code is not null and icao_code like '%JFK%'""",
     "airports_by_country": """select country, count(*) as nb_airports from airportsint group by country
@@ -201,6 +211,9 @@ _AIRPORT_SQL = {
 _FREQUENCY_SQL = {
     "frequencies_explode": FREQUENCY_ROWS,
     "stream_frequencies_ingest": FREQUENCY_ROWS,
+    "uncastable_values": """select 'value' as column_name, count(value) as present, cast(0 as bigint) as uncastable
+  from frequencies
+union all select 'name', count(name), count(name) from frequencies""",
     "total_value": "select cast(sum(value) as double) as total_value from frequencies",
     "value_by_airport": "select airport_id, cast(sum(value) as double) as total_value from frequencies group by airport_id",
 }
@@ -269,12 +282,24 @@ rows_sent as (
   from supplier join lineitem on l_suppkey = s_suppkey group by s_suppkey % 3
 )""",
     )
-    + """select 'airports' as topic, m.partition, count(*) as messages, count(*) as airports,
+    + """select 'airports' as topic, m.partition, count(*) as messages, count(distinct s_suppkey) as airports,
   cast(any_value(frequencies) as bigint) as frequencies, cast(any_value(runways) as bigint) as runways,
   cast(0 as bigint) as rejects
   from airport_messages m join rows_sent r on m.partition = r.partition group by m.partition""",
-    "data_freshness": "select max(ts) as latest from events",
-    "freshness_by_airport": "select user_id, max(ts) as latest from events group by user_id",
+    "stream_table_counts": _with(AIRPORTS, FREQUENCIES, RUNWAYS)
+    + """select 'airports' as table_name, count(*) as n from airportsint
+union all select 'frequencies', sum(case when l_suppkey % 10 = 0 then 2 else 1 end) from frequencies
+  join (select distinct l_suppkey from lineitem) on airport_id = 'ap' || l_suppkey
+union all select 'runways', sum(case when l_suppkey % 10 = 0 then 2 else 1 end) from runways
+  join (select distinct l_suppkey from lineitem) on airport_id = 'ap' || l_suppkey
+union all select 'flights', count(*) from orders join customer on o_custkey = c_custkey""",
+    "data_freshness": _with(AIRPORT_MESSAGES)
+    + f"""select make_timestamp(cast({FIRST_SEND} + max("offset" // {WAVE}) as bigint) * 1000000) as latest
+  from airport_messages""",
+    "freshness_by_airport": _with(AIRPORT_MESSAGES)
+    + f"""select 'ap' || s_suppkey as airport_id,
+  make_timestamp(cast({FIRST_SEND} + max("offset" // {WAVE}) as bigint) * 1000000) as latest
+  from airport_messages group by s_suppkey""",
 }
 
 

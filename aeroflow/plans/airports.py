@@ -113,6 +113,17 @@ def airport_names(airports: DataFrame) -> DataFrame:
     return airports.select("name")
 
 
+def uncastable(rows: DataFrame, *columns: str) -> DataFrame:
+    """For each text column: values present, and those that are no number and so are in no sum."""
+    present = [F.count(F.when(F.trim(c) != "", 1)) for c in columns]
+    numbers = [F.count(as_numeric(F.col(c))) for c in columns]
+    counted = F.array(*[
+        F.struct(F.lit(c).alias("column_name"), p.alias("present"), (p - n).alias("uncastable"))
+        for c, p, n in zip(columns, present, numbers, strict=True)
+    ])
+    return rows.agg(counted.alias("counted")).select(F.inline("counted"))
+
+
 def data_freshness(rows: DataFrame, time: str = "created_at") -> DataFrame:
     return rows.agg(F.max(time).alias("latest"))
 

@@ -9,7 +9,8 @@ from aeroflow import schemas
 from aeroflow.functions import array_size
 from aeroflow.operators import decode, dedup, flatten
 from aeroflow.sinks.parquet import write_clustered
-from aeroflow.sources.tables import FLIGHT_MONTH
+from aeroflow.sinks.topic import WIDE_ROWS
+from aeroflow.sources.tables import FLIGHT_MONTH, MONTH_FORMAT
 
 
 def build_flights(messages: DataFrame, root: str) -> None:
@@ -17,44 +18,66 @@ def build_flights(messages: DataFrame, root: str) -> None:
 
 
 def store_flights(flights: DataFrame, root: str) -> None:
-    """Month folders, sorted by departure airport: a dashboard reads one airport."""
-    monthly = flights.withColumn(FLIGHT_MONTH, F.date_format("flight_date", "yyyy-MM"))
+    """Month folders, sorted by departure airport: a dashboard reads one airport.
+
+    The month is that of the scheduled departure, on which time ranges filter; the flight's
+    date stands in where there is none.
+    """
+    day = F.coalesce(F.to_date("departure_scheduled"), F.col("flight_date"))
+    monthly = flights.withColumn(FLIGHT_MONTH, F.date_format(day, MONTH_FORMAT))
     write_clustered(monthly, f"{root}/flights", FLIGHT_MONTH, ["departure_iata", "flight_date"])
 
 
-def store_repeats(messages: DataFrame, path: str) -> None:
-    """Stores the keys that were sent more than once, so that their size is known."""
-    dedup.repeated_keys(messages).write.mode("overwrite").parquet(path)
+def staged(documents: DataFrame, path: str) -> DataFrame:
+    """Parsed documents, written out and read back.
+
+    Several tables are made of documents that should be parsed, and fetched, once.
+    A table rather than a cache: cached blocks hold many whole documents per
+    task in memory, are lost with their executor, and are read whole, while each
+    output here reads only the columns it needs. The next use overwrites it.
+    """
+    documents.write.mode("overwrite").options(**WIDE_ROWS).parquet(path)
+    return documents.sparkSession.read.schema(documents.schema).parquet(path)
 
 
-def without_repeats(messages: DataFrame, path: str) -> DataFrame:
-    return dedup.latest_messages(messages, messages.sparkSession.read.parquet(path))
+def store_repeats(parsed: DataFrame, path: str) -> DataFrame:
+    """Stores which documents were sent more than once, so that their size is known."""
+    repeated = dedup.repeated_documents(parsed)
+    repeated.write.mode("overwrite").parquet(path)
+    return parsed.sparkSession.read.schema(repeated.schema).parquet(path)
 
 
-def build_airports(current: DataFrame, root: str) -> None:
-    """Airports, frequencies and runways from messages without repeats.
+def build_airports(messages: DataFrame, root: str, stage: str) -> None:
+    """Airports, frequencies and runways from the current documents of a topic.
 
-    Each table gets its own pass with a parse of only the fields it needs. That
-    reads the topic three times but keeps no copy of the decoded documents,
-    which at full size would not fit the executors' memory and local disks.
+    Messages are parsed once, into a staged table; each output reads its columns of it, and
+    replaced documents are left out by joining these narrow rows.
     """
-    for name, rows in (
-        ("airports", airports_from_messages(current)),
-        ("frequencies", flatten.frequencies_from_messages(current)),
-        ("runways", flatten.runways_from_messages(current)),
+    parsed = staged(decode.with_id(decode.parse_airports(messages)), f"{stage}/documents")
+    repeated = store_repeats(parsed, f"{stage}/repeated")
+    position = ["key", *schemas.SOURCE_COLUMNS]
+    narrow = {
+        name: dedup.current_documents(parsed.select(*position, "_id", name), repeated)
+        for name in ("frequencies", "runways")
+    }
+    rows = parsed.select(*position, *flatten.AIRPORT_ROW_FIELDS)
+    for name, table in (
+        ("airports", dedup.dedup_batch(flatten.flatten_airports(rows, *schemas.SOURCE_COLUMNS))),
+        ("frequencies", flatten.explode_frequencies(narrow["frequencies"])),
+        ("runways", flatten.explode_runways(narrow["runways"])),
     ):
-        rows.write.mode("overwrite").parquet(f"{root}/{name}")
+        table.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
 def airports_from_messages(messages: DataFrame) -> DataFrame:
     """One airports row per ``_id``, from its newest message."""
-    parsed = decode.with_id(decode.parse_airports(messages, flatten.AIRPORT_ROW_FIELDS))
+    parsed = flatten.documents(messages, flatten.AIRPORT_ROW_FIELDS)
     return dedup.dedup_batch(flatten.flatten_airports(parsed, *schemas.SOURCE_COLUMNS))
 
 
-def count_tables(messages: DataFrame) -> DataFrame:
+def count_tables(messages: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """Rows each table gets from these messages, in one pass and without exploding."""
-    parsed = decode.with_id(decode.parse_airports(messages, ["_id", "frequencies", "runways"]))
+    parsed = flatten.documents(messages, ["_id", "frequencies", "runways"], repeated)
     children = {
         name: F.sum(array_size(name)).alias(name)
         for name in ("frequencies", "runways")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aeroflow.functions import any_selected, band
 from aeroflow.operators import panels
+from aeroflow.sources.tables import FLIGHT_MONTH, MONTH_FORMAT
 
 HOME = "JFK"
 
@@ -110,6 +111,14 @@ def latest_flights(flights: DataFrame, airport: str = HOME, n: int = 20) -> Data
     )
 
 
+def delay_percentage_bands(flights: DataFrame, airport: str = HOME) -> DataFrame:
+    """The same steps, as percentages of the range of the daily means."""
+    daily = daily_departure_delay(flights, airport)
+    low, high = panels.value_range(daily, "avg_delay")
+    colour = band(F.col("avg_delay"), low=low, high=high)
+    return daily.select("flight_date", "avg_delay", colour.alias("band"))
+
+
 def with_display_names(rows: DataFrame, labels: dict[str, str]) -> DataFrame:
     return rows.withColumnsRenamed(labels)
 
@@ -166,7 +175,13 @@ def selected_flights(
 
 
 def in_time_range(rows: DataFrame, column: str, low: Column, high: Column) -> DataFrame:
-    return rows.where(F.col(column).between(low, high))
+    """Rows whose time is in a range; with the month folder of the scheduled departure among the
+    columns, folders outside the range are not read."""
+    within = F.col(column).between(low, high)
+    if column == "departure_scheduled" and FLIGHT_MONTH in rows.columns:
+        first, last = (F.date_format(t, MONTH_FORMAT) for t in (low, high))
+        within = within & F.col(FLIGHT_MONTH).between(first, last)
+    return rows.where(within)
 
 
 def in_last_hours(rows: DataFrame, column: str, hours: int = DASHBOARD_HOURS) -> DataFrame:

@@ -17,6 +17,7 @@ from aeroflow.plans import flights as fl
 from aeroflow.session import fresh_dir
 from aeroflow.sinks import FileTopicSink, to_records
 from aeroflow.sources.generated import AIRPORTS_TOPIC, FLIGHTS_TOPIC, STRAY_TOPIC
+from aeroflow.sources.tables import TABLES
 from aeroflow.sources.topics import peek
 from aeroflow.streaming import AIRPORT_JOB, FLIGHT_JOB
 from aeroflow.streaming.ingest import (
@@ -85,7 +86,7 @@ FLAT_AIRPORT = (
 
 @query
 def airports_flatten(w: Workspace) -> DataFrame:
-    flat = build.airports_from_messages(w.current_airport_messages())
+    flat = build.airports_from_messages(w.messages(AIRPORTS_TOPIC))
     return flatten.with_position(flat).select(*FLAT_AIRPORT)
 
 
@@ -109,12 +110,12 @@ def _runway_rows(rows: DataFrame) -> DataFrame:
 
 @query
 def frequencies_explode(w: Workspace) -> DataFrame:
-    return _frequency_rows(flatten.frequencies_from_messages(w.current_airport_messages()))
+    return _frequency_rows(flatten.frequencies_from_messages(w.messages(AIRPORTS_TOPIC), w.repeated_airports()))
 
 
 @query
 def runways_explode(w: Workspace) -> DataFrame:
-    return _runway_rows(flatten.runways_from_messages(w.current_airport_messages()))
+    return _runway_rows(flatten.runways_from_messages(w.messages(AIRPORTS_TOPIC), w.repeated_airports()))
 
 
 @query
@@ -143,7 +144,7 @@ def flights_raw_json(w: Workspace) -> DataFrame:
 
 @query
 def batch_counts(w: Workspace) -> DataFrame:
-    return build.count_tables(w.current_airport_messages())
+    return build.count_tables(w.messages(AIRPORTS_TOPIC), w.repeated_airports())
 
 
 # --- messages ---------------------------------------------------------------
@@ -185,6 +186,34 @@ def json_rewrite(w: Workspace) -> DataFrame:
     return decode.rewrite_records(_event_records(w), "k int", "event_id")
 
 
+@query
+def enriched_airports(w: Workspace) -> DataFrame:
+    """The light filter and enrichment, with the constants and typed NULLs of the table."""
+    kept = flatten.clean_and_enrich(w.table("airports"))
+    return kept.select(
+        "_id", "icao_code", "geoid_height", "hae", "created_by", "updated_by", "v_version",
+        F.col("magnetic_declination").cast("double").alias("magnetic_declination"),
+        F.size(F.coalesce("traffic_type", F.array().cast("array<int>"))).alias("n_traffic_types"),
+    )
+
+
+@query
+def airports_reference_box(w: Workspace) -> DataFrame:
+    """The box of the reference's example, not widened."""
+    return ap.airports_in_box(w.table("airports"))
+
+
+@query
+def display_names(w: Workspace) -> DataFrame:
+    return fl.with_display_names(fl.departures_per_day(w.table("flights")), fl.DAILY_FLIGHTS_LABELS)
+
+
+@query
+def percentage_bands(w: Workspace) -> DataFrame:
+    """Daily delays coloured by where they lie between the least and the greatest."""
+    return fl.delay_percentage_bands(w.table("flights"))
+
+
 @query
 def publish_records(w: Workspace) -> DataFrame:
     path = fresh_dir(w.spark, "published")
@@ -288,7 +317,7 @@ def filter_all_selected(w: Workspace) -> DataFrame:
 @query
 def filter_time_range(w: Workspace) -> DataFrame:
     low, high = (F.lit(t).cast("timestamp") for t in ("1998-01-01", "1998-02-01"))
-    flights = fl.in_time_range(w.table("flights"), "departure_scheduled", low, high)
+    flights = fl.in_time_range(w.flights_by_month(), "departure_scheduled", low, high)
     return flights.select("flight_iata", "departure_scheduled")
 
 
@@ -325,6 +354,12 @@ def value_by_airport(w: Workspace) -> DataFrame:
     return _doubles(ap.value_by_airport(w.table("frequencies")), "total_value")
 
 
+@query
+def uncastable_values(w: Workspace) -> DataFrame:
+    """Frequency texts that are present but no number: none of the values, all of the names."""
+    return ap.uncastable(w.table("frequencies"), "value", "name")
+
+
 def _priced(w: Workspace) -> tuple[DataFrame, DataFrame]:
     return w.table("frequencies"), w.table("airports")
 
@@ -366,12 +401,13 @@ def airport_names(w: Workspace) -> DataFrame:
 
 @query
 def data_freshness(w: Workspace) -> DataFrame:
-    return ap.data_freshness(w.given("events"), "ts")
+    return ap.data_freshness(w.messages(AIRPORTS_TOPIC), "timestamp")
 
 
 @query
 def freshness_by_airport(w: Workspace) -> DataFrame:
-    return ap.freshness_by(w.given("events"), "user_id", "ts")
+    documents = flatten.documents(w.messages(AIRPORTS_TOPIC), ["_id"])
+    return ap.freshness_by(documents.withColumnRenamed("_id", "airport_id"), "airport_id", "timestamp")
 
 
 # --- streams ----------------------------------------------------------------
@@ -381,7 +417,7 @@ def freshness_by_airport(w: Workspace) -> DataFrame:
 def stream_flights_ingest(w: Workspace) -> DataFrame:
     sink = w.ingested(FLIGHTS_TOPIC)
     rows = sink.read(w.spark, "flights", schemas.ddl_row(schemas.FLIGHTS_TABLE))
-    return rows.drop("batch_id", "raw_json")
+    return rows.drop("job", "batch_id", "raw_json")
 
 
 @query
@@ -403,18 +439,31 @@ def stream_runways_ingest(w: Workspace) -> DataFrame:
 @query
 def stream_ingest_audit(w: Workspace) -> DataFrame:
     """Totals of the audit rows the airports job wrote, over all of its batches."""
-    entries = w.ingested(AIRPORTS_TOPIC).audit(w.spark, AIRPORT_JOB.audit_ddl())
-    counted = ("messages", *AIRPORT_JOB.counts())
+    entries = w.ingested(AIRPORTS_TOPIC).audit(w.spark, AIRPORT_JOB.audit_ddl()).where(F.col("topic") == AIRPORTS_TOPIC)
+    counted = ("messages", *AIRPORT_JOB.counts(), *AIRPORT_JOB.distinct())
     return entries.groupBy("topic", "partition").agg(
         *[F.sum(c).alias(c) for c in counted if c != "documents"]
     )
 
 
+@query
+def stream_table_counts(w: Workspace) -> DataFrame:
+    """Rows of each table after both jobs, which share one sink."""
+    w.ingested(AIRPORTS_TOPIC)
+    sink = w.ingested(FLIGHTS_TOPIC)
+    counts = None
+    for name, fields in TABLES.items():
+        rows = sink.read(w.spark, name, schemas.ddl_row(dict(list(fields.items())[:1])))
+        count = rows.agg(F.lit(name).alias("table_name"), F.count("*").alias("n"))
+        counts = count if counts is None else counts.unionByName(count)
+    return counts
+
+
 @query
 def stream_rejects(w: Workspace) -> DataFrame:
     """The rejects table of an airports job that was given a topic of stray messages."""
     sink = w.ingested(STRAY_TOPIC)
-    return sink.read(w.spark, REJECTS, schemas.ddl_row(REJECTS_TABLE)).drop("batch_id")
+    return sink.read(w.spark, REJECTS, schemas.ddl_row(REJECTS_TABLE)).drop("job", "batch_id")
 
 
 @query

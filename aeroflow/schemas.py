@@ -52,7 +52,6 @@ STOP_TIME_FIELDS = frozenset(
     {"scheduled", "estimated", "actual", "estimated_runway", "actual_runway"}
 )
 
-# --- end of fixed values ----------------------------------------------------
 
 
 def ddl_struct(fields: dict[str, str]) -> str:
@@ -132,9 +131,10 @@ FLIGHTS_TABLE = (
     | {"raw_json": "string"}
 )
 
-# Wide enough for any amount the wire text can hold; a bare `decimal` is (10,0)
-# in Spark and would round 118.700 to 119.
-NUMERIC = "decimal(18,6)"
+# 20 digits before the point and 8 after it; a sum has ten digits more. A bare
+# `decimal` is (10,0) in Spark and would round 118.700 to 119. What does not fit is
+# counted by `plans.airports.uncastable`.
+NUMERIC = "decimal(28,8)"
 
 AIRPORTS_TABLE = {
     "_id": "string",
@@ -190,3 +190,5 @@ RUNWAYS_TABLE = {
     "dimension": "string",
     "declared_distance": "string",
 }
+
+# --- end of fixed values ----------------------------------------------------

@@ -8,52 +8,54 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+JOB = "job"
 BATCH = "batch_id"
 PAGE_ROWS = 2000
 
 
 @dataclass(frozen=True)
 class ParquetSink:
-    """One folder per table and batch.
+    """One folder per table, job and batch, so several jobs can share the tables.
 
-    A batch overwrites its own folders, so running it again replaces what a
-    failed attempt left behind. Its audit rows are written last; readers only
-    take batches that have them, so no reader sees one table of a batch without
-    the others.
+    Batch numbers start anew with each checkpoint; the job, which carries an id kept
+    with the checkpoint, tells them apart. A batch overwrites its own folders, so running
+    it again replaces what a failed attempt left behind. Its audit rows are written last;
+    readers only take batches that have them, so no reader sees one table of a batch
+    without the others.
     """
 
     root: str
     audit_table: str = "ingest_audit"
 
-    def _folder(self, table: str, batch_id: int) -> str:
-        return f"{self.root}/{table}/{BATCH}={batch_id}"
+    def _folder(self, table: str, job: str, batch_id: int) -> str:
+        return f"{self.root}/{table}/{JOB}={job}/{BATCH}={batch_id}"
 
     def open(self, spark: SparkSession, audit_ddl: str) -> None:
         """Nothing to prepare: a missing folder reads as an empty table."""
 
-    def write(self, table: str, rows: DataFrame, batch_id: int) -> None:
+    def write(self, table: str, rows: DataFrame, job: str, batch_id: int) -> None:
         writer = rows.write.mode("overwrite").option("parquet.page.row.count.limit", PAGE_ROWS)
-        writer.parquet(self._folder(table, batch_id))
+        writer.parquet(self._folder(table, job, batch_id))
 
-    def commit(self, audit: DataFrame, batch_id: int) -> None:
+    def commit(self, audit: DataFrame, job: str, batch_id: int) -> None:
         # At most one row per topic partition.
-        audit.coalesce(1).write.mode("overwrite").parquet(self._folder(self.audit_table, batch_id))
+        audit.coalesce(1).write.mode("overwrite").parquet(self._folder(self.audit_table, job, batch_id))
 
     def audit(self, spark: SparkSession, ddl: str) -> DataFrame:
         return self._all(spark, self.audit_table, ddl)
 
     def read(self, spark: SparkSession, table: str, ddl: str) -> DataFrame:
-        """Rows of committed batches, with their ``batch_id``."""
-        committed = self._all(spark, self.audit_table, "topic string").select(BATCH).distinct()
-        return self._all(spark, table, ddl).join(committed, BATCH, "left_semi")
+        """Rows of committed batches, with their ``job`` and ``batch_id``."""
+        committed = self._all(spark, self.audit_table, "topic string").select(JOB, BATCH).distinct()
+        return self._all(spark, table, ddl).join(committed, [JOB, BATCH], "left_semi")
 
-    def is_committed(self, spark: SparkSession, batch_id: int) -> bool:
+    def committed(self, spark: SparkSession, job: str, batch_id: int, ddl: str) -> DataFrame:
+        """Audit rows of one batch; none if it has not been committed."""
         # Looks into the one folder, however many batches there have been.
-        folder = self._folder(self.audit_table, batch_id)
-        return not _read_or_empty(spark, folder, "topic string").isEmpty()
+        return _read_or_empty(spark, self._folder(self.audit_table, job, batch_id), ddl)
 
     def _all(self, spark: SparkSession, table: str, ddl: str) -> DataFrame:
-        return _read_or_empty(spark, f"{self.root}/{table}", f"{ddl}, {BATCH} bigint")
+        return _read_or_empty(spark, f"{self.root}/{table}", f"{ddl}, {JOB} string, {BATCH} bigint")
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:

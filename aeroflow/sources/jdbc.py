@@ -8,6 +8,22 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 
+@dataclass(frozen=True)
+class Split:
+    """Ranges of a numeric, date or timestamp column; rows outside the bounds go to the outer ranges."""
+
+    column: str
+    lower: str
+    upper: str
+    parts: int
+
+    def options(self) -> dict[str, str]:
+        return {
+            "partitionColumn": self.column, "lowerBound": self.lower,
+            "upperBound": self.upper, "numPartitions": str(self.parts),
+        }
+
+
 @dataclass(frozen=True)
 class Database:
     """Where it is, how to log in, and how many tasks may write to it at once."""
@@ -21,8 +37,10 @@ class Database:
         defaults = {"stringtype": "unspecified"} if ":postgresql:" in self.url else {}
         return {"url": self.url, "dbtable": table, **defaults, **self.properties}
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.options(table)).load()
+    def read(self, spark: SparkSession, table: str, split: Split | None = None) -> DataFrame:
+        """A table, over one connection or split into ranges of a column that are read side by side."""
+        options = self.options(table) | (split.options() if split else {})
+        return spark.read.format("jdbc").options(**options).load()
 
     def append(self, rows: DataFrame, table: str) -> None:
         options = self.options(table) | {"numPartitions": str(self.max_writers)}

@@ -25,14 +25,18 @@ VIEW_NAMES = {
 
 # Folder column of the flights table; not one of its 40 columns.
 FLIGHT_MONTH = "flight_month"
+MONTH_FORMAT = "yyyy-MM"
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A stored table with its declared columns; the schema is never inferred."""
+def read_table(spark: SparkSession, root: str, name: str, with_folder: bool = False) -> DataFrame:
+    """A stored table with its declared columns; the schema is never inferred.
+
+    ``with_folder`` adds the folder column, by which a time range leaves folders out.
+    """
     fields = TABLES[name]
     folders = {FLIGHT_MONTH: "string"} if name == "flights" else {}
     rows = spark.read.schema(schemas.ddl_row(fields | folders)).parquet(f"{root}/{name}")
-    return rows.select(*fields)
+    return rows.select(*fields, *(folders if with_folder else ()))
 
 
 def register_views(spark: SparkSession, root: str) -> None:

@@ -25,12 +25,17 @@ class KafkaTopic:
     starting: str = "earliest"
     max_offsets_per_trigger: int | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    min_partitions: int | None = None  # more tasks than the topic has partitions
+
+    def _common(self) -> dict[str, str]:
+        return {"minPartitions": str(self.min_partitions)} if self.min_partitions else {}
 
     def stream_options(self) -> dict[str, str]:
         options = {
             "kafka.bootstrap.servers": self.servers,
             "subscribe": self.topic,
             "startingOffsets": self.starting,
+            **self._common(),
             **self.options,
         }
         if self.max_offsets_per_trigger:
@@ -46,6 +51,7 @@ class KafkaTopic:
             "subscribe": self.topic,
             "startingOffsets": starting,
             "endingOffsets": "latest",
+            **self._common(),
             **self.options,
         }
 
@@ -63,7 +69,7 @@ class FileTopic:
     """A folder of Parquet files with the record columns of a Kafka topic.
 
     A micro-batch is bounded, by bytes unless a number of files is given: a
-    backlog is worked off in batches the executors can cache.
+    backlog is worked off in batches of a known size.
     """
 
     path: str
@@ -109,18 +115,38 @@ def peek(records: DataFrame, n: int = 5) -> DataFrame:
     return records.where(wanted).orderBy(*position)
 
 
-def landing_pages(spark: SparkSession, path: str, topic: str) -> DataFrame:
-    """A stream over a folder of API pages, one JSON document per file.
+# Files of one microsecond that keep positions of their own.
+FILES_PER_INSTANT = 4096
+
+
+def landing_pages(spark: SparkSession, path: str, topic: str, max_files: int = 10_000) -> DataFrame:
+    """A stream over a folder of API pages, one JSON document per file, ``max_files`` in a batch.
 
     The file stands in for the record position: it is the key, so a page that
-    is landed again under the same name replaces the earlier one.
+    is landed again under the same name replaces the earlier one. Its offset is
+    its modification time; the name tells files of one instant apart.
     """
-    pages = spark.readStream.format("text").option("wholetext", "true").load(path)
+    reader = spark.readStream.format("text").option("wholetext", "true")
+    pages = reader.option("maxFilesPerTrigger", max_files).load(path)
+    name = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(FILES_PER_INSTANT))
+    offset = F.unix_micros("_metadata.file_modification_time") * FILES_PER_INSTANT + name
     return pages.select(
         F.col("_metadata.file_path").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"),
-        F.unix_micros("_metadata.file_modification_time").alias("offset"),
+        offset.alias("offset"),
         F.col("_metadata.file_modification_time").alias("timestamp"),
     )
+
+
+@dataclass(frozen=True)
+class LandingFolder:
+    """A folder that API pages are landed in, as a topic."""
+
+    path: str
+    topic: str
+    max_files: int = 10_000
+
+    def stream(self, spark: SparkSession) -> DataFrame:
+        return landing_pages(spark, self.path, self.topic, self.max_files)

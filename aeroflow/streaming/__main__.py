@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from aeroflow.session import prepare
 from aeroflow.sinks import JdbcSink, ParquetSink
 from aeroflow.sources.jdbc import Database
-from aeroflow.sources.topics import FileTopic, KafkaTopic
+from aeroflow.sources.topics import FileTopic, KafkaTopic, LandingFolder
 from aeroflow.streaming.ingest import AIRPORT_JOB, FLIGHT_JOB, run_to_end, start
 
 JOBS = {job.name: job for job in (AIRPORT_JOB, FLIGHT_JOB)}
@@ -26,6 +26,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--kafka", metavar="SERVERS")
     source.add_argument("--files", metavar="FOLDER", help="Parquet files of topic records")
+    source.add_argument("--landing", metavar="FOLDER", help="API pages, one JSON file each")
+    parser.add_argument("--max-files", type=int, default=10_000, help="landed files per micro-batch")
     parser.add_argument("--topic", help="Kafka topic; the job's name if not given")
     parser.add_argument("--starting-offsets", default="earliest")
     parser.add_argument("--max-offsets", type=int, default=200_000, help="records per micro-batch")
@@ -40,7 +42,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def topic_of(args: argparse.Namespace) -> KafkaTopic | FileTopic:
+def topic_of(args: argparse.Namespace) -> KafkaTopic | FileTopic | LandingFolder:
+    if args.landing:
+        return LandingFolder(args.landing, args.topic or args.job, args.max_files)
     if args.files:
         return FileTopic(args.files)
     return KafkaTopic(args.kafka, args.topic or args.job, args.starting_offsets, args.max_offsets)

@@ -39,16 +39,20 @@ def lag_rows(sources: Iterable[dict[str, Any]]) -> list[tuple]:
     rows = []
     for source in sources:
         read = _offsets(source.get("endOffset"))
-        latest = _offsets(source.get("latestOffset")) or read
-        for (topic, partition), end in sorted(latest.items()):
-            done = read.get((topic, partition), 0)
-            rows.append((source.get("description"), topic, partition, done, end, end - done))
+        started = _offsets(source.get("startOffset"))
+        latest = _offsets(source.get("latestOffset"))
+        for topic, partition in sorted(read.keys() | latest.keys()):
+            place = (topic, partition)
+            done, end = read.get(place, started.get(place)), latest.get(place)
+            lag = None if done is None or end is None else end - done
+            rows.append((source.get("description"), topic, partition, done, end, lag))
     return rows
 
 
 def consumer_lag(spark: SparkSession, sources: Iterable[dict[str, Any]]) -> DataFrame:
     """How far a query is behind, one row per topic partition.
 
-    ``sources`` is the ``sources`` list of a progress report.
+    ``sources`` is the ``sources`` list of a progress report. The lag is NULL where it is not known:
+    file sources report no newest position, and a partition not yet read has no position.
     """
     return spark.createDataFrame(lag_rows(sources), LAG_DDL)

@@ -9,10 +9,12 @@ committed, and the next run gets the same batch again.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Protocol
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from aeroflow import schemas
 from aeroflow.functions import array_size
 from aeroflow.operators import decode, dedup, flatten
-from aeroflow.sinks.topic import WIDE_ROWS
+from aeroflow.plans.build import staged
 
 REJECTS = "rejects"
 REJECTS_TABLE = {
@@ -34,6 +36,17 @@ REJECTS_TABLE = {
 # One narrow row per accepted airport message: which message is the newest.
 DOCUMENTS = "documents"
 
+# What names the messages of a batch, and how many rows it gave.
+BATCH_RANGE = {
+    "topic": "string",
+    "partition": "int",
+    "first_offset": "bigint",
+    "last_offset": "bigint",
+    "messages": "bigint",
+}
+COUNTED = (DOCUMENTS, "airports", "frequencies", "runways", "flights", REJECTS)
+AUDIT_TABLE = BATCH_RANGE | {name: "bigint" for name in COUNTED}
+
 # Columns the airport tables carry besides their own, to find the newest rows.
 MESSAGE_POSITION = {"key": "binary", "partition": "int", "offset": "bigint", "timestamp": "timestamp"}
 
@@ -41,11 +54,11 @@ MESSAGE_POSITION = {"key": "binary", "partition": "int", "offset": "bigint", "ti
 class Sink(Protocol):
     def open(self, spark: SparkSession, audit_ddl: str) -> None: ...
 
-    def is_committed(self, spark: SparkSession, batch_id: int) -> bool: ...
+    def committed(self, spark: SparkSession, job: str, batch_id: int, ddl: str) -> DataFrame: ...
 
-    def write(self, table: str, rows: DataFrame, batch_id: int) -> None: ...
+    def write(self, table: str, rows: DataFrame, job: str, batch_id: int) -> None: ...
 
-    def commit(self, audit: DataFrame, batch_id: int) -> None: ...
+    def commit(self, audit: DataFrame, job: str, batch_id: int) -> None: ...
 
 
 class ReadableSink(Protocol):
@@ -58,20 +71,21 @@ class Topic(Protocol):
 
 @dataclass(frozen=True)
 class Job:
-    """How one kind of message becomes tables."""
+    """How one kind of message becomes tables.
+
+    ``counts`` are taken on the way, of every message; ``distinct`` ones only of a whole batch.
+    """
 
     name: str
     parse: Callable[[DataFrame], DataFrame]
     counts: Callable[[], dict[str, Column]]
+    distinct: Callable[[], dict[str, Column]]
     tables: Callable[[DataFrame], dict[str, DataFrame]]
     rejects: Callable[[DataFrame], DataFrame]
 
     def audit_ddl(self) -> str:
-        counted = {name: "bigint" for name in self.counts()}
-        return schemas.ddl_row(
-            {"topic": "string", "partition": "int", "first_offset": "bigint",
-             "last_offset": "bigint", "messages": "bigint", **counted}
-        )
+        """The same for every job; what a job does not count is NULL."""
+        return schemas.ddl_row(AUDIT_TABLE)
 
 
 def _count_where(test: Column) -> Column:
@@ -90,10 +104,9 @@ def _total_size(array: str) -> Column:
 def _airport_counts() -> dict[str, Column]:
     return {
         DOCUMENTS: _count_where(F.col("_id").isNotNull()),
-        "airports": _count_where(F.col("_id").isNotNull()),
         "frequencies": _total_size("frequencies"),
         "runways": _total_size("runways"),
-        REJECTS: _count_where(F.col("_id").isNull()),
+        REJECTS: _count_where(decode.is_rejected_airport()),
     }
 
 
@@ -111,7 +124,7 @@ def _airport_tables(parsed: DataFrame) -> dict[str, DataFrame]:
 def _flight_counts() -> dict[str, Column]:
     return {
         "flights": _total_size("flights"),
-        REJECTS: _count_where(F.col("n_flights") == 0),
+        REJECTS: _count_where(decode.is_rejected_page()),
     }
 
 
@@ -127,6 +140,7 @@ AIRPORT_JOB = Job(
         decode.parse_airports(records, keep_raw=True), "frequencies", "runways"
     ),
     _airport_counts,
+    lambda: {"airports": F.count_distinct("_id")},  # one row is written for each
     _airport_tables,
     decode.rejected_airports,
 )
@@ -134,6 +148,7 @@ FLIGHT_JOB = Job(
     "flights",
     lambda records: _with_sizes(decode.parse_flight_pages(records, keep_raw=True), "flights"),
     _flight_counts,
+    dict,
     _flight_tables,
     decode.rejected_pages,
 )
@@ -145,36 +160,56 @@ def audit(job: Job, parsed: DataFrame) -> DataFrame:
         F.min("offset").alias("first_offset"),
         F.max("offset").alias("last_offset"),
         F.count("*").alias("messages"),
-        *[column.alias(name) for name, column in job.counts().items()],
+        *[column.alias(name) for name, column in (job.counts() | job.distinct()).items()],
     )
 
 
-def staged(documents: DataFrame, path: str) -> DataFrame:
-    """Parsed documents of one batch, written out and read back.
+class BatchMismatch(RuntimeError):
+    """A batch number that this job has committed for other messages."""
 
-    Several tables are made of a batch that should be parsed, and fetched, once.
-    A table rather than a cache: cached blocks hold many whole documents per
-    task in memory, are lost with their executor, and are read whole, while each
-    output here reads only the columns it needs. The next batch overwrites it.
-    """
-    documents.write.mode("overwrite").options(**WIDE_ROWS).parquet(path)
-    return documents.sparkSession.read.schema(documents.schema).parquet(path)
 
-
-def write_batch(job: Job, sink: Sink, parsed: DataFrame, batch_id: int, stage: str) -> None:
-    spark = parsed.sparkSession
-    if sink.is_committed(spark, batch_id):
-        return
+def write_batch(
+    job: Job, sink: Sink, parsed: DataFrame, batch_id: int, stage: str, job_id: str | None = None
+) -> None:
+    """Writes a batch unless the same messages were committed under its number before."""
+    spark, job_id = parsed.sparkSession, job_id or job.name
     documents = staged(parsed, stage)
     # One row per topic partition.
     entries = audit(job, documents).collect()
-    totals = {name: sum(e[name] for e in entries) for name in job.counts()}
+    before = sink.committed(spark, job_id, batch_id, job.audit_ddl()).select(*BATCH_RANGE).collect()
+    if before:
+        now = {tuple(e[c] for c in BATCH_RANGE) for e in entries}
+        if {tuple(b) for b in before} != now:
+            raise BatchMismatch(f"batch {batch_id} of {job_id} was committed for other messages")
+        return
+    totals = {name: sum(e[name] for e in entries) for name in job.counts() | job.distinct()}
     outputs = job.tables(documents) | {REJECTS: job.rejects(documents)}
     for table, rows in outputs.items():
         if totals[table]:
-            sink.write(table, rows, batch_id)
+            sink.write(table, rows, job_id, batch_id)
     if entries:
-        sink.commit(spark.createDataFrame(entries, job.audit_ddl()), batch_id)
+        rows = [tuple(e[c] if c in e else None for c in AUDIT_TABLE) for e in entries]
+        sink.commit(spark.createDataFrame(rows, job.audit_ddl()), job_id, batch_id)
+
+
+def job_identity(spark: SparkSession, job: Job, checkpoint: str) -> str:
+    """The job's name and an id that is made once and kept next to its checkpoint.
+
+    Jobs that share a sink, and a job that starts over with a new checkpoint, each count
+    their batches from 0; this tells them apart.
+    """
+    path = checkpoint.rstrip("/") + "-job"
+    try:
+        kept = spark.read.schema("value string").text(path).collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        kept = []
+    if not kept:
+        new = f"{job.name}-{uuid.uuid4().hex[:12]}"
+        spark.createDataFrame([(new,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        return new
+    return kept[0]["value"]
 
 
 def start(
@@ -189,8 +224,9 @@ def start(
     """Starts a job: until stopped, or until the topic as it is now is read.
 
     ``checkpoint`` is a folder all executors reach; the batch being written is
-    staged next to it.
+    staged next to it, and the job's id is kept there.
     """
+    job_id = job_identity(spark, job, checkpoint)
     stage = checkpoint.rstrip("/") + "-stage"
     sink.open(spark, job.audit_ddl())
     metrics = [F.count("*").alias("messages")]
@@ -200,7 +236,7 @@ def start(
         parsed.writeStream.queryName(f"ingest_{job.name}")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: write_batch(job, sink, batch, batch_id, stage))
+        .foreachBatch(lambda batch, batch_id: write_batch(job, sink, batch, batch_id, stage, job_id))
     )
     if until_caught_up:
         writer = writer.trigger(availableNow=True)

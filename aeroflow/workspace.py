@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aeroflow.operators import decode
 from aeroflow.plans import build
 from aeroflow.session import prepare, shared_dir
 from aeroflow.sinks import FileTopicSink, ParquetSink
@@ -75,18 +76,21 @@ class Workspace:
         topic = self.topic(name)
         return self._frame(f"topic {name}", lambda: topic.read(self.spark))
 
-    def current_airport_messages(self) -> DataFrame:
-        """The airports topic without superseded messages."""
-        messages = self.messages(generated.AIRPORTS_TOPIC)
+    def repeated_airports(self) -> DataFrame:
+        """Which airport documents were sent more than once."""
         path = f"{self.root}/scratch/repeated_airports"
-        self._once("repeats", lambda: build.store_repeats(messages, path))
-        return build.without_repeats(messages, path)
+
+        def store() -> None:
+            build.store_repeats(decode.parse_airports(self.messages(generated.AIRPORTS_TOPIC), ["_id"]), path)
+
+        self._once("repeats", store)
+        return self._frame("repeats", lambda: self.spark.read.parquet(path))
 
     def build(self, topic: str) -> None:
         if topic == generated.FLIGHTS_TOPIC:
             build.build_flights(self.messages(topic), f"{self.root}/tables")
         else:
-            build.build_airports(self.current_airport_messages(), f"{self.root}/tables")
+            build.build_airports(self.messages(topic), f"{self.root}/tables", f"{self.root}/scratch/airports")
 
     def table(self, name: str) -> DataFrame:
         topic = generated.FLIGHTS_TOPIC if name == "flights" else generated.AIRPORTS_TOPIC
@@ -94,9 +98,19 @@ class Workspace:
         tables = f"{self.root}/tables"
         return self._frame(f"table {name}", lambda: read_table(self.spark, tables, name))
 
+    def flights_by_month(self) -> DataFrame:
+        """Flights with their month folder, by which time ranges leave folders out."""
+        self.table("flights")
+        tables = f"{self.root}/tables"
+        return self._frame("flights by month", lambda: read_table(self.spark, tables, "flights", with_folder=True))
+
     def ingested(self, topic: str) -> ParquetSink:
-        """The sink of a streaming job that has read the whole topic."""
-        sink = ParquetSink(f"{self.root}/ingested/{topic}")
+        """The sink of a streaming job that has read the whole topic.
+
+        The flight and the airport job write to the same tables, as they would in production.
+        """
+        tables = "tables" if topic != generated.STRAY_TOPIC else topic
+        sink = ParquetSink(f"{self.root}/ingested/{tables}")
         checkpoint = f"{self.root}/checkpoints/{topic}"
 
         def run() -> None:

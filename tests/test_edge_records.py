@@ -64,7 +64,7 @@ def test_frequency_text_keeps_its_decimals(spark, messages):
     frame = messages([{"_id": "f", "frequencies": [{"value": "118.700"}, {"value": "abc"}]}])
     rows = flatten.frequencies_from_messages(frame)
     assert {r["value"] for r in rows.collect()} == {"118.700", "abc"}
-    assert str(total_value(rows).first()[0]) == "118.700000"
+    assert str(total_value(rows).first()[0]) == "118.70000000"
 
 
 def test_runway_without_dimensions(messages):
@@ -129,3 +129,36 @@ def test_results_do_not_depend_on_ansi_mode(spark, messages):
         finally:
             spark.conf.unset("spark.sql.ansi.enabled")
     assert results[0] == results[1]
+
+
+def test_large_amounts_are_summed_and_bad_ones_counted(messages):
+    from aeroflow.plans.airports import total_value, uncastable
+
+    values = ["12345678901234567890", "1234567890123", "1.5", "0.00000049", "1,5", " ", None]
+    rows = flatten.frequencies_from_messages(messages([{"_id": "f", "frequencies": [{"value": v} for v in values]}]))
+    assert str(total_value(rows).first()[0]) == "12345680135802458014.50000049"
+    assert [tuple(r) for r in uncastable(rows, "value").collect()] == [("value", 5, 1)]
+
+
+def test_one_bad_child_costs_one_child(messages):
+    frame = messages([
+        {"_id": "a", "runways": [{"_id": "r1"}, 7, None, {"_id": "r2"}], "frequencies": {"_id": "solo"}},
+        {"_id": "b", "runways": "x", "frequencies": [{"_id": "f"}]},
+        {"_id": "c", "type": "x", "runways": [{"_id": "r3"}]},
+        {"_id": "d", "runways": [{"_id": "r4"}]},
+    ])
+    assert {r["_id"] for r in flatten.runways_from_messages(frame).collect()} >= {"r1", "r2", "r3", "r4"}
+    assert {r["_id"] for r in flatten.frequencies_from_messages(frame).collect()} == {"solo", "f"}
+    assert set(airports(frame)) == {"a", "b", "c", "d"}
+    rejects = decode.airport_rejects(frame).collect()
+    assert {(r["offset"], r["reason"]) for r in rejects} == {(0, "bad_field"), (1, "bad_field"), (2, "bad_field")}
+    assert all(r["raw"] for r in rejects)
+
+
+def test_no_flights_are_made_up(messages):
+    flight = {"flight": {"iata": "A"}}
+    frame = messages([{"data": [None, {}]}, {"data": [flight, {}, None]}, {"data": [flight, 7]}, {"data": [flight]}])
+    rows = flatten.flights_from_messages(frame).collect()
+    assert [r["flight_iata"] for r in rows] == ["A", "A", "A"]
+    rejects = {(r["offset"], r["reason"]) for r in decode.flight_rejects(frame).collect()}
+    assert rejects == {(0, "no_flights"), (1, "bad_field"), (2, "bad_field")}

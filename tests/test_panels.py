@@ -67,7 +67,7 @@ def test_multi_select(spark):
 
 
 def test_numeric_text(spark):
-    assert str(one(spark, as_numeric(F.lit("118.700")))) == "118.700000"
+    assert str(one(spark, as_numeric(F.lit("118.700")))) == "118.70000000"
     assert one(spark, as_numeric(F.lit("abc"))) is None
 
 

@@ -12,7 +12,7 @@ from aeroflow.functions import json_paths, paths_schema
 from aeroflow.operators import decode
 from aeroflow.sinks import FileTopicSink, JdbcSink, KafkaTopicSink, to_records
 from aeroflow.sinks.jdbc import encode_arrays
-from aeroflow.sources.jdbc import Database
+from aeroflow.sources.jdbc import Database, Split
 from aeroflow.sources.topics import FileTopic, KafkaTopic, peek
 from aeroflow.session import shared_dir
 from aeroflow.streaming import FLIGHT_JOB, ingest
@@ -89,14 +89,16 @@ def test_rows_of_a_failed_attempt_are_not_read(spark, tmp_path):
     rows = spark.createDataFrame([(1, [1])], "n int, a array<int>")
     audit = spark.createDataFrame([("t",)], "topic string")
     done = JdbcSink(database)
-    done.write("flights", rows, 0)
-    done.commit(audit, 0)
+    done.write("flights", rows, "job", 0)
+    done.commit(audit, "job", 0)
 
-    JdbcSink(database).write("flights", rows, 1)  # an attempt that never commits
+    JdbcSink(database).write("flights", rows, "job", 1)  # an attempt that never commits
     again = JdbcSink(database)
-    assert again.is_committed(spark, 0) and not again.is_committed(spark, 1)
-    again.write("flights", rows, 1)
-    again.commit(audit, 1)
+    assert again.committed(spark, "job", 0, "topic string").count() == 1
+    assert again.committed(spark, "job", 1, "topic string").isEmpty()
+    assert again.committed(spark, "other", 0, "topic string").isEmpty()
+    again.write("flights", rows, "job", 1)
+    again.commit(audit, "job", 1)
 
     assert database.read(spark, "flights").count() == 3
     kept = again.read(spark, "flights")
@@ -114,6 +116,25 @@ def test_a_job_can_start_on_an_empty_database(spark, messages, tmp_path):
     assert [r["reason"] for r in sink.read(spark, "rejects").collect()] == ["malformed"]
 
 
+def test_two_jobs_share_a_database(spark, messages, tmp_path):
+    from aeroflow.streaming import AIRPORT_JOB
+
+    sink = JdbcSink(FolderDatabase(str(tmp_path / "db")))
+    for job, value in ((AIRPORT_JOB, {"_id": "a", "frequencies": [{"_id": "f"}]}), (FLIGHT_JOB, {"flight": {"iata": "A"}})):
+        topic = FileTopic(str(tmp_path / job.name))
+        messages([value], topic=job.name).write.parquet(topic.path)
+        ingest(spark, job, topic, sink, str(tmp_path / f"checkpoint-{job.name}"))
+    assert [sink.read(spark, t).count() for t in ("airports", "frequencies", "flights")] == [1, 1, 1]
+
+
+def test_options_that_split_reads():
+    split = Split("id", "0", "1000", 8)
+    assert split.options() == {"partitionColumn": "id", "lowerBound": "0", "upperBound": "1000", "numPartitions": "8"}
+    topic = KafkaTopic("b:1", "t", min_partitions=64)
+    assert topic.stream_options()["minPartitions"] == topic.range_options()["minPartitions"] == "64"
+    assert "minPartitions" not in KafkaTopic("b:1", "t").stream_options()
+
+
 def test_json_record_operators(spark, messages):
     pages = messages([{"data": [{"a": {"b": 1}, "c": "x"}, {"c": None}]}, "{oops", {"data": None}])
     records = decode.split_records(pages)

@@ -13,10 +13,10 @@ from aeroflow import schemas
 from aeroflow.operators import flatten
 from aeroflow.plans import build
 from aeroflow.sinks import ParquetSink
-from aeroflow.sources.topics import FileTopic, landing_pages
+from aeroflow.sources.topics import FileTopic, LandingFolder
 from aeroflow.streaming import AIRPORT_JOB, FLIGHT_JOB, ingest, run_to_end, start
 from aeroflow.streaming.health import batch_metrics, consumer_lag
-from aeroflow.streaming.ingest import REJECTS, REJECTS_TABLE, ingested_airports, write_batch
+from aeroflow.streaming.ingest import REJECTS, REJECTS_TABLE, BatchMismatch, ingested_airports, write_batch
 
 FLIGHT = {"flight_date": "2025-10-21", "flight": {"iata": "AF1"}, "departure": {"iata": "JFK"}}
 
@@ -81,8 +81,8 @@ def test_restart_adds_nothing_and_later_messages_arrive(spark, messages, place):
 class FailingSink(ParquetSink):
     """Fails on one table after writing it."""
 
-    def write(self, table, rows, batch_id):
-        super().write(table, rows, batch_id)
+    def write(self, table, rows, job, batch_id):
+        super().write(table, rows, job, batch_id)
         if table == "runways":
             raise OSError("disk full")
 
@@ -136,7 +136,7 @@ def test_empty_tables_are_not_written(spark, messages, place):
     write_batch(AIRPORT_JOB, place.sink, AIRPORT_JOB.parse(messages([airport("A", "a", ["f"])])), 0, place.stage)
     assert sorted(os.listdir(place.sink.root)) == ["airports", "documents", "frequencies", "ingest_audit"]
     write_batch(AIRPORT_JOB, place.sink, AIRPORT_JOB.parse(messages([])), 1, place.stage)
-    assert not place.sink.is_committed(spark, 1)
+    assert place.sink.committed(spark, "airports", 1, AIRPORT_JOB.audit_ddl()).isEmpty()
 
 
 def test_audit_rows_and_observed_metrics(spark, messages, place):
@@ -145,12 +145,13 @@ def test_audit_rows_and_observed_metrics(spark, messages, place):
     (row,) = place.sink.audit(spark, AIRPORT_JOB.audit_ddl()).collect()
     assert (row["first_offset"], row["last_offset"], row["messages"]) == (0, 1, 2)
     assert (row["airports"], row["frequencies"], row["runways"], row["rejects"]) == (1, 2, 1, 1)
+    assert row["flights"] is None
     (metrics,) = batch_metrics(query, "airports")
-    assert {k: metrics[k] for k in ("messages", "airports", "frequencies", "runways", "rejects")} == {
-        "messages": 2, "airports": 1, "frequencies": 2, "runways": 1, "rejects": 1}
+    assert {k: metrics[k] for k in ("messages", "documents", "frequencies", "runways", "rejects")} == {
+        "messages": 2, "documents": 1, "frequencies": 2, "runways": 1, "rejects": 1}
     progress = json.loads(query.lastProgress.json)
     lag = consumer_lag(spark, progress["sources"]).collect()
-    assert [r["lag"] for r in lag] == [0]
+    assert [r["lag"] for r in lag] == [None]  # a file source does not say what is there
 
 
 def test_lag_of_kafka_positions(spark):
@@ -161,7 +162,7 @@ def test_lag_of_kafka_positions(spark):
     }]
     rows = consumer_lag(spark, sources).orderBy("partition").collect()
     assert [(r["partition"], r["read_offset"], r["latest_offset"], r["lag"]) for r in rows] == [
-        (0, 5, 9, 4), (1, 7, 7, 0), (2, 0, 3, 3)]
+        (0, 5, 9, 4), (1, 7, 7, 0), (2, None, 3, None)]
 
 
 def test_a_running_query_can_be_stopped(spark, messages, place):
@@ -176,21 +177,63 @@ def test_a_running_query_can_be_stopped(spark, messages, place):
     run_to_end(query)
 
 
+def test_two_jobs_share_a_sink(spark, messages, place, tmp_path):
+    """In either order, with rejects of both."""
+    for order in ((AIRPORT_JOB, FLIGHT_JOB), (FLIGHT_JOB, AIRPORT_JOB)):
+        sink = ParquetSink(str(tmp_path / f"shared-{order[0].name}"))
+        sent = {"airports": [airport("A", "a", ["f1"]), "{oops"], "flights": [flights("F"), "{}"]}
+        for job in order:
+            topic = FileTopic(str(tmp_path / f"{order[0].name}-{job.name}"))
+            messages(sent[job.name], topic=job.name).coalesce(1).write.parquet(topic.path)
+            ingest(spark, job, topic, sink, str(tmp_path / f"check-{order[0].name}-{job.name}"))
+        assert flights_in(spark, sink) == ["F"]
+        assert ingested_airports(spark, sink)["frequencies"].count() == 1
+        assert {r["topic"] for r in stored(spark, sink, REJECTS, REJECTS_TABLE).collect()} == {"airports", "flights"}
+        assert sink.audit(spark, FLIGHT_JOB.audit_ddl()).count() == 2
+
+
+def test_a_new_checkpoint_adds_to_the_tables(spark, messages, place, tmp_path):
+    place.send(messages([flights("A")]))
+    ingest(spark, FLIGHT_JOB, place.topic, place.sink, place.checkpoint)
+    other = FileTopic(str(tmp_path / "other"))
+    messages([flights("B")]).write.parquet(other.path)
+    ingest(spark, FLIGHT_JOB, other, place.sink, str(tmp_path / "second"))
+    assert flights_in(spark, place.sink) == ["A", "B"]
+
+
+def test_a_batch_number_with_other_messages_is_refused(spark, messages, place):
+    write_batch(FLIGHT_JOB, place.sink, FLIGHT_JOB.parse(messages([flights("A")])), 0, place.stage)
+    with pytest.raises(BatchMismatch):
+        write_batch(FLIGHT_JOB, place.sink, FLIGHT_JOB.parse(messages([flights("B")], first_offset=9)), 0, place.stage)
+    assert flights_in(spark, place.sink) == ["A"]
+
+
+def test_an_airport_sent_twice_in_a_batch_counts_once(spark, messages, place):
+    parsed = AIRPORT_JOB.parse(messages([airport("A", "a"), airport("B", "a"), airport("C", "c")]))
+    write_batch(AIRPORT_JOB, place.sink, parsed, 0, place.stage)
+    (row,) = place.sink.audit(spark, AIRPORT_JOB.audit_ddl()).collect()
+    assert (row["documents"], row["airports"]) == (3, 2)
+    assert stored(spark, place.sink, "airports", schemas.AIRPORTS_TABLE).count() == 2
+
+
 def test_landed_pages_become_messages(spark, tmp_path):
     pages = tmp_path / "pages"
     pages.mkdir()
     (pages / "one.json").write_text(json.dumps(flights("A", "B"), indent=2))
     (pages / "two.json").write_text(json.dumps(flights("C")))
 
-    class Landing:
-        def stream(self, session):
-            return landing_pages(session, str(pages), "landed")
-
+    os.utime(pages / "one.json", (1_700_000_000, 1_700_000_000))
+    os.utime(pages / "two.json", (1_700_000_000, 1_700_000_000))
     sink = ParquetSink(str(tmp_path / "sink"))
-    ingest(spark, FLIGHT_JOB, Landing(), sink, str(tmp_path / "checkpoint"))
+    ingest(spark, FLIGHT_JOB, LandingFolder(str(pages), "landed"), sink, str(tmp_path / "checkpoint"))
     assert flights_in(spark, sink) == ["A", "B", "C"]
     (row,) = sink.audit(spark, FLIGHT_JOB.audit_ddl()).collect()
     assert (row["topic"], row["messages"], row["flights"]) == ("landed", 2, 3)
+    assert row["first_offset"] < row["last_offset"]  # files of one instant are told apart
+
+    single = ParquetSink(str(tmp_path / "single"))
+    ingest(spark, FLIGHT_JOB, LandingFolder(str(pages), "landed", max_files=1), single, str(tmp_path / "checkpoint-1"))
+    assert [r["messages"] for r in single.audit(spark, FLIGHT_JOB.audit_ddl()).collect()] == [1, 1]
 
 
 def test_many_small_batches_equal_one_build(spark, small_dir, tmp_path):
@@ -209,7 +252,8 @@ def test_many_small_batches_equal_one_build(spark, small_dir, tmp_path):
         drop = ("created_at", "updated_at")
         ours = sorted(map(str, current[name].drop(*drop).collect()))
         assert ours == sorted(map(str, space.table(name).drop(*drop).collect()))
-    assert build.count_tables(space.current_airport_messages()).first()["airports"] == len(
+    counted = build.count_tables(space.messages("airports"), space.repeated_airports())
+    assert counted.first()["airports"] == len(
         current["airports"].collect())
 
 

@@ -126,12 +126,40 @@ def test_any_flights_survive_the_round_trip(messages, docs):
         assert json.loads(row["raw_json"])["flight"] == sent
 
 
-def test_latest_messages(messages):
-    sent = messages([("k1", {"_id": "a"}), ("k2", {"_id": "b"}), (None, {"_id": "c"}), (None, {"_id": "c"})])
-    again = messages([("k1", {"_id": "a2"})], first_offset=10, wave=1)
-    kept = dedup.latest_messages(sent.unionByName(again))
-    ids = sorted(r["_id"] for r in decode.parse_airports(kept, ["_id"]).collect())
-    assert ids == ["a2", "b", "c", "c"]
+def current(frame):
+    parsed = decode.parse_airports(frame, ["_id", "frequencies"])
+    return dedup.current_documents(decode.with_id(parsed), dedup.repeated_documents(parsed))
+
+
+def test_only_documents_replace_documents(messages):
+    sent = messages([("k1", {"_id": "a"}), ("k2", {"_id": "b"}), (None, {"_id": "c"}), (None, {"_id": "c"}), ("k3", {"_id": "d"})])
+    again = messages([("k1", {"_id": "a"}), ("k2", "{oops"), ("k3", {"_id": "e"})], first_offset=10, wave=1)
+    kept = current(sent.unionByName(again))
+    assert sorted((r["_id"], r["offset"]) for r in kept.collect()) == [("a", 10), ("b", 1), ("c", 3), ("d", 4), ("e", 12)]
+
+
+def test_batch_and_stream_agree_on_what_is_current(spark, messages, tmp_path):
+    from aeroflow.sinks import ParquetSink
+    from aeroflow.sources.topics import FileTopic
+    from aeroflow.streaming import AIRPORT_JOB, ingest
+    from aeroflow.streaming.ingest import ingested_airports
+
+    def doc(key, *children):
+        return {"_id": key, "frequencies": [{"_id": c} for c in children]}
+
+    frame = messages([
+        ("k", doc("a", "f1")), ("k", "{oops"), (None, doc("b", "g1", "g2")), (None, doc("b", "g1", "g2")),
+        ("p/0", doc("c", "h1")), ("p/1", doc("c", "h2")), ("p/1", doc("c", "h3")), ("q", doc("d", "i")), ("q", doc("e", "j")),
+    ])
+    topic = FileTopic(str(tmp_path / "topic"))
+    frame.write.parquet(topic.path)
+    build.build_airports(frame, str(tmp_path / "tables"), str(tmp_path / "stage"))
+    batch = spark.read.parquet(str(tmp_path / "tables" / "frequencies"))
+    sink = ParquetSink(str(tmp_path / "sink"))
+    ingest(spark, AIRPORT_JOB, topic, sink, str(tmp_path / "checkpoint"))
+    streamed = ingested_airports(spark, sink)["frequencies"]
+    expected = ["f1", "g1", "g2", "h1", "h3", "i", "j"]
+    assert sorted(r["_id"] for r in batch.collect()) == sorted(r["_id"] for r in streamed.collect()) == expected
 
 
 def test_dedup_takes_null_as_a_key(spark):
