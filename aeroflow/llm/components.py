@@ -11,11 +11,12 @@ from aeroflow.llm.common import stored
 def _with_least_neighbour(edges: DataFrame) -> DataFrame:
     """Edges (u, v) with ``m``, the least of u and all its neighbours.
 
-    The minimum is combined before the shuffle, and the join back may be split
-    at a hot node, so a node with a third of all edges is no single task.
+    The minimum is combined before the shuffle and stored; the join back then has a shuffle of
+    its own, which may be split at a hot node, so a node with a third of all edges is no
+    single task.
     """
     least = edges.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"))
-    return edges.join(least, "u")
+    return edges.join(stored(least, "least"), "u")
 
 
 def components(edges: DataFrame) -> DataFrame:
