@@ -37,10 +37,6 @@ def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.sha2(normalised(text_col), 256).alias("digest"))
 
 
-def _least(groups: Column | str = "digest") -> tuple[Column, Column]:
-    return F.min("id").alias("keep_id"), F.count("*").cast("bigint").alias("n")
-
-
 @dataclass
 class Snapshot:
     """Distinct digests ``(digest, keep_id, n, bucket)`` and a filter for each bucket."""
@@ -99,7 +95,7 @@ class Snapshot:
 
 def grouped(rows: DataFrame) -> DataFrame:
     """Duplicates of a batch within itself; counts are combined before the shuffle."""
-    return rows.groupBy("digest").agg(*_least())
+    return rows.groupBy("digest").agg(F.min("id").alias("keep_id"), F.count("*").alias("n"))
 
 
 def checked(docs: DataFrame, text_col: str, repeated: DataFrame) -> DataFrame:
@@ -110,7 +106,8 @@ def checked(docs: DataFrame, text_col: str, repeated: DataFrame) -> DataFrame:
     texts with one digest stop the job: they would need another digest.
     """
     texts = docs.select(F.sha2(normalised(text_col), 256).alias("digest"), normalised(text_col).alias("text"))
-    texts = texts.join(repeated.select("digest"), "digest", "left_semi")
+    # Stored: what follows groups by digest too, and would otherwise keep the join's partitions as they are.
+    texts = stored(texts.join(repeated.select("digest"), "digest", "left_semi"), "repeated-texts")
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(_CHECK_SALTS))
     distinct = texts.withColumn("salt", salt).groupBy("digest", "text", "salt").agg(F.count("*").alias("n"))
     per_text = distinct.groupBy("digest", "text").agg(F.sum("n").alias("n"))
@@ -141,8 +138,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = groups.join(repeated, groups["digest"] == repeated["same"], "left").select(
         "digest", "keep_id", F.coalesce("copies", "n").alias("group_size")
     )
+    # Both sides are stored, so that the join has shuffles of its own: large partitions can be split.
+    groups = stored(groups, "classes")
     # Rows with equal id and text are alike but for one of them being kept.
-    alike = rows.groupBy("digest", "id").agg(F.count("*").alias("alike"))
+    alike = stored(rows.groupBy("digest", "id").agg(F.count("*").alias("alike")), "alike")
     numbered = alike.join(groups, "digest").select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), "alike")).alias("number"))
     kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("number") == 1)
     return numbered.select(
