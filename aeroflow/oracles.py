@@ -187,6 +187,8 @@ from {DAILY_DELAY} cross join (select min(avg_delay) as mn, max(avg_delay) as mx
     "publish_records": "select * from flights",
     "stream_flights_ingest": "select * from flights",
 }
+_FLIGHT_SQL["stream_top_destinations"] = _FLIGHT_SQL["top_destinations"]
+_FLIGHT_SQL["stream_time_range"] = _FLIGHT_SQL["filter_time_range"]
 
 _AIRPORT_SQL = {
     "airports_flatten": "select * from airportsint",

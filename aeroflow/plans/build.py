@@ -10,7 +10,7 @@ from aeroflow.functions import array_size
 from aeroflow.operators import decode, dedup, flatten
 from aeroflow.sinks.parquet import write_clustered
 from aeroflow.sinks.topic import WIDE_ROWS
-from aeroflow.sources.tables import FLIGHT_MONTH, MONTH_FORMAT
+from aeroflow.sources.tables import FLIGHT_MONTH, flight_month
 
 
 def build_flights(messages: DataFrame, root: str) -> None:
@@ -18,13 +18,8 @@ def build_flights(messages: DataFrame, root: str) -> None:
 
 
 def store_flights(flights: DataFrame, root: str) -> None:
-    """Month folders, sorted by departure airport: a dashboard reads one airport.
-
-    The month is that of the scheduled departure, on which time ranges filter; the flight's
-    date stands in where there is none.
-    """
-    day = F.coalesce(F.to_date("departure_scheduled"), F.col("flight_date"))
-    monthly = flights.withColumn(FLIGHT_MONTH, F.date_format(day, MONTH_FORMAT))
+    """Month folders, sorted by departure airport: a dashboard reads one airport."""
+    monthly = flights.withColumn(FLIGHT_MONTH, flight_month())
     write_clustered(monthly, f"{root}/flights", FLIGHT_MONTH, ["departure_iata", "flight_date"])
 
 

@@ -417,7 +417,23 @@ def freshness_by_airport(w: Workspace) -> DataFrame:
 def stream_flights_ingest(w: Workspace) -> DataFrame:
     sink = w.ingested(FLIGHTS_TOPIC)
     rows = sink.read(w.spark, "flights", schemas.ddl_row(schemas.FLIGHTS_TABLE))
-    return rows.drop("job", "batch_id", "raw_json")
+    return rows.drop("job", "batch_id", "flight_month", "raw_json")
+
+
+def _streamed_flights(w: Workspace) -> DataFrame:
+    return w.ingested(FLIGHTS_TOPIC).read(w.spark, "flights", schemas.ddl_row(schemas.FLIGHTS_TABLE))
+
+
+@query
+def stream_top_destinations(w: Workspace) -> DataFrame:
+    return fl.top_destinations(_streamed_flights(w))
+
+
+@query
+def stream_time_range(w: Workspace) -> DataFrame:
+    low, high = (F.lit(t).cast("timestamp") for t in ("1998-01-01", "1998-02-01"))
+    flights = fl.in_time_range(_streamed_flights(w), "departure_scheduled", low, high)
+    return flights.select("flight_iata", "departure_scheduled")
 
 
 @query

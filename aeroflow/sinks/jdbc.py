@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeroflow.sinks.parquet import BATCH, JOB
+from aeroflow.sinks.parquet import BATCH, FOLDERS, JOB
 from aeroflow.sources.jdbc import Database
 
 ATTEMPT = "attempt"
@@ -42,6 +42,7 @@ class JdbcSink:
 
     def _append(self, table: str, rows: DataFrame, job: str, batch_id: int) -> None:
         tag = self.attempt.setdefault((job, batch_id), uuid.uuid4().hex)
+        rows = rows.drop(FOLDERS.get(table, ""))
         if not self.native_arrays:
             rows = encode_arrays(rows)
         tagged = rows.withColumns(

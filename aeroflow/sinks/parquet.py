@@ -12,6 +12,9 @@ JOB = "job"
 BATCH = "batch_id"
 PAGE_ROWS = 2000
 
+# Folder column of tables that have one below their batches.
+FOLDERS = {"flights": "flight_month"}
+
 
 @dataclass(frozen=True)
 class ParquetSink:
@@ -35,6 +38,8 @@ class ParquetSink:
 
     def write(self, table: str, rows: DataFrame, job: str, batch_id: int) -> None:
         writer = rows.write.mode("overwrite").option("parquet.page.row.count.limit", PAGE_ROWS)
+        if FOLDERS.get(table) in rows.columns:
+            writer = writer.partitionBy(FOLDERS[table])
         writer.parquet(self._folder(table, job, batch_id))
 
     def commit(self, audit: DataFrame, job: str, batch_id: int) -> None:
@@ -45,7 +50,7 @@ class ParquetSink:
         return self._all(spark, self.audit_table, ddl)
 
     def read(self, spark: SparkSession, table: str, ddl: str) -> DataFrame:
-        """Rows of committed batches, with their ``job`` and ``batch_id``."""
+        """Rows of committed batches, with their ``job``, ``batch_id`` and folder column."""
         committed = self._all(spark, self.audit_table, "topic string").select(JOB, BATCH).distinct()
         return self._all(spark, table, ddl).join(committed, [JOB, BATCH], "left_semi")
 
@@ -55,6 +60,8 @@ class ParquetSink:
         return _read_or_empty(spark, self._folder(self.audit_table, job, batch_id), ddl)
 
     def _all(self, spark: SparkSession, table: str, ddl: str) -> DataFrame:
+        if table in FOLDERS:
+            ddl = f"{ddl}, {FOLDERS[table]} string"
         return _read_or_empty(spark, f"{self.root}/{table}", f"{ddl}, {JOB} string, {BATCH} bigint")
 
 

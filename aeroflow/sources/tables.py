@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroflow import schemas
@@ -28,6 +28,13 @@ FLIGHT_MONTH = "flight_month"
 MONTH_FORMAT = "yyyy-MM"
 
 
+def flight_month() -> Column:
+    """The month of the scheduled departure, on which time ranges filter; the flight's date
+    stands in where there is none."""
+    day = F.coalesce(F.to_date("departure_scheduled"), F.col("flight_date"))
+    return F.date_format(day, MONTH_FORMAT)
+
+
 def read_table(spark: SparkSession, root: str, name: str, with_folder: bool = False) -> DataFrame:
     """A stored table with its declared columns; the schema is never inferred.
 

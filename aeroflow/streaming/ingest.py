@@ -23,6 +23,7 @@ from aeroflow import schemas
 from aeroflow.functions import array_size
 from aeroflow.operators import decode, dedup, flatten
 from aeroflow.plans.build import staged
+from aeroflow.sources.tables import FLIGHT_MONTH, flight_month
 
 REJECTS = "rejects"
 REJECTS_TABLE = {
@@ -129,9 +130,9 @@ def _flight_counts() -> dict[str, Column]:
 
 
 def _flight_tables(pages: DataFrame) -> dict[str, DataFrame]:
-    flights = flatten.flatten_flights(decode.split_flights(pages))
+    flights = flatten.flatten_flights(decode.split_flights(pages)).withColumn(FLIGHT_MONTH, flight_month())
     # A local sort, no shuffle: panels filter on the departure airport.
-    return {"flights": flights.sortWithinPartitions("departure_iata", "flight_date")}
+    return {"flights": flights.sortWithinPartitions(FLIGHT_MONTH, "departure_iata", "flight_date")}
 
 
 AIRPORT_JOB = Job(

@@ -97,10 +97,11 @@ def test_filters_and_columns_reach_the_scan(spark, small_dir):
     scan = next(l for l in plan(QUERIES["top_destinations"](spark, small_dir)).splitlines() if "FileScan" in l)
     assert "EqualTo(departure_iata,JFK)" in scan
     assert "ReadSchema: struct<departure_iata:string,arrival_airport:string>" in scan
-    scan = next(l for l in plan(QUERIES["filter_time_range"](spark, small_dir)).splitlines() if "FileScan" in l)
-    assert "GreaterThanOrEqual(departure_scheduled" in scan and "LessThanOrEqual(departure_scheduled" in scan
-    folders = scan[scan.index("PartitionFilters:"):].split("]")[0]
-    assert "flight_month" in folders and "1998-01" in folders and "1998-02" in folders
+    for name in ("filter_time_range", "stream_time_range"):
+        scan = next(l for l in plan(QUERIES[name](spark, small_dir)).splitlines() if "FileScan" in l and "flight_month" in l)
+        assert "GreaterThanOrEqual(departure_scheduled" in scan and "LessThanOrEqual(departure_scheduled" in scan
+        folders = scan[scan.index("PartitionFilters:"):].split("]")[0]
+        assert "flight_month" in folders and "1998-01" in folders and "1998-02" in folders
     scan = next(l for l in plan(QUERIES["replay_from_offset"](spark, small_dir)).splitlines() if "FileScan" in l)
     assert "GreaterThanOrEqual(offset,20)" in scan
     scan = next(l for l in plan(QUERIES["topic_peek"](spark, small_dir)).splitlines() if "FileScan" in l)
