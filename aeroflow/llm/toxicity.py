@@ -176,9 +176,11 @@ def train(
     chosen = stored(training_labels(labels, id_col, label_col, most), "labels")
     texts = docs.select(F.col(id_col).alias("_key"), text_of(text_col).alias("_text"))
     # At most ``most`` rows of two numbers.
-    sample = texts.join(F.broadcast(chosen), "_key").select("_text", "_label")
-    # Copies and near copies of a text would look like evidence from many texts.
-    sample = sample.withColumn("_sketch", F.pandas_udf(_sketch, "bigint", F.PandasUDFType.SCALAR)("_text")).dropDuplicates(["_sketch", "_label"])
+    sample = texts.join(F.broadcast(chosen), "_key")
+    # Copies and near copies of a text would look like evidence from many texts: the first one stays.
+    sample = sample.withColumn("_sketch", F.pandas_udf(_sketch, "bigint")("_text"))
+    first = F.min_by("_text", F.struct("_key", F.xxhash64("_text")))
+    sample = sample.groupBy("_sketch", "_label").agg(first.alias("_text"))
     sample = stored(sample.select("_text", "_label"), "sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +217,7 @@ def train(
     share1, share0 = F.col("d1") / float(positive), (F.col("d0") + 0.5) / float(n - positive + 1)
     pooled = (F.col("d1") + F.col("d0") + 0.5) / float(n + 1)
     z = (share1 - share0) / F.sqrt(pooled * (1 - pooled) * (1 / float(positive) + 1 / float(n - positive)))
-    kept = scored.withColumn("z", z).where(F.col("z") >= LEAST_Z).where(F.col("score") >= LEAST_SCORE).collect()
+    kept = scored.withColumn("z", z).where(F.col("z") >= LEAST_Z).where(F.col("score") >= LEAST_SCORE).orderBy("feature").collect()
     if not kept:
         return Model(base=base)
     model = Model({r["feature"]: r["score"] for r in kept}, base=base)
@@ -232,6 +234,7 @@ def train(
 
     # Three numbers for each of the bounded number of sample rows.
     fitted = sample.mapInPandas(features, "best double, total double, label boolean").toPandas()
+    fitted = fitted.sort_values(["best", "total", "label"])  # sums in one order: reruns agree to the last digit
     x = np.column_stack([np.ones(len(fitted)), fitted["best"], fitted["total"]])
     model.curve = tuple(float(v) for v in logistic(x, fitted["label"].to_numpy(float)))
     return model

@@ -83,6 +83,12 @@ def test_awkward_rows(spark):
         assert all("awful" in r["passage"] or "nasty" in r["passage"] for r in found)
 
 
+def test_reruns_agree(spark, small_dir):
+    docs, labels = table(spark, small_dir, "documents"), table(spark, small_dir, "labels")
+    one, two = toxicity.train(docs, labels), toxicity.train(docs.repartition(7), labels)
+    assert (one.scores, one.rate, one.curve) == (two.scores, two.rate, two.curve)
+
+
 def test_without_labels(spark):
     docs = spark.createDataFrame(awkward_rows(), SCHEMA)
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
