@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from aeroflow.llm.common import stored, text_of
 from aeroflow.session import fresh_dir
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 128 << 20  # of text for each bucket of the hash space
-BLOCK = 1 << 19  # windows that are looked at together
+BLOCK = 1 << 18  # windows that are looked at together
 _PLACE_BITS = 22  # for places within a block and the longest window
 LAST_ID = np.iinfo(np.int64).max  # stands for NULL, which comes last
 
