@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroflow.llm import (
+    conversation_trie,
     decontaminate,
     exact_dedup,
     language_id,
@@ -83,6 +84,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(prepare(spark), sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = conversation_trie.sequences(table(prepare(spark), sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(conversation_trie.with_shared_heads(found))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_conversation_trie": op11_conversation_trie,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -136,4 +143,32 @@ with docs as (
 select doc_id, min(doc_id) over (partition by norm) as keep_id, count(*) over (partition by norm) as group_size,
   row_number() over (partition by norm order by doc_id nulls last) = 1 as kept, sha256(norm) as text_sha256
 from docs""",
+    "op11_conversation_trie": """
+with turns as (
+  select conv_id, list([coalesce(role, ''), coalesce(text, '')] order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns
+  from conversations where conv_id is not null group by conv_id
+), heads as (
+  select *, list_reduce(list_concat([4294967295::bigint], list_transform(range(length(cast(conv_id as varchar))), lambda i: ord(substr(cast(conv_id as varchar), cast(i + 1 as bigint), 1))::bigint)),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], list_transform(range(8), lambda i: 0::bigint)), lambda y, z: xor(y >> 1, (y & 1) * 3988292384))) as crc
+  from turns
+), rebuilt as (
+  select c.conv_id, list_concat(coalesce(b.turns, [])[1:cast(xor(c.crc, 4294967295) % 9 as bigint)], c.turns[cast(xor(c.crc, 4294967295) % 9 as bigint) + 1:]) as turns
+  from heads c left join turns b on b.conv_id = c.conv_id - c.conv_id % 5
+), members as (
+  select conv_id, turns, d, turns[1:d] as node from rebuilt, unnest(range(len(turns) + 1)) as u(d)
+), nodes as (
+  select node, any_value(d) as depth, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (d = len(turns)), '')) as ends_sha256
+  from members group by node
+), placed as (
+  select n.*, p.conv_id as parent_conv_id, (select count(*) from nodes c where c.depth = n.depth + 1 and c.node[1:n.depth] = n.node) as n_children,
+    case when n.depth > 0 then (n.n_convs - 1) * strlen(n.node[n.depth][2]) else 0 end as own
+  from nodes n left join nodes p on p.depth = n.depth - 1 and p.node = n.node[1:n.depth - 1]
+), below as (
+  select b.node[1:d] as node, sum(cast(b.n_children = 0 as bigint)) as n_leaves, sum(b.own) as saved
+  from placed b, unnest(range(b.depth + 1)) as u(d) group by 1
+)
+select p.conv_id, p.depth, p.parent_conv_id, p.n_convs, p.n_children, cast(b.n_leaves as bigint) as n_leaves,
+  cast(b.saved as bigint) as saved_tokens, p.ends_sha256
+from placed p join below b on p.node = b.node""",
 }

@@ -1,0 +1,134 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from compare import connect, duck_rows, spark_rows
+from pyspark.sql import functions as F
+
+from aeroflow.llm import conversation_trie, queries
+from aeroflow.llm.conversation_trie import TernaryTree, medians_first, prefix_trie, sequences, with_shared_heads
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+NAMES = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def in_order(rows):
+    convs = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            convs[conv].append(((turn is not None, turn or 0), (role or "").encode(), (text or "").encode()))
+    return {c: [t[1:] for t in sorted(turns)] for c, turns in convs.items()}
+
+
+def rebuilt(convs):
+    out = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - (c % 5 if c >= 0 else -(-c % 5))
+        out[c] = convs.get(base, [])[:h] + own[h:]
+    return out
+
+
+def trie(convs):
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+        ends[tuple(turns)].append(c)
+    children, leaves, saved = defaultdict(int), defaultdict(int), defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    for node in members:
+        own = (len(members[node]) - 1) * len(node[-1][1]) if node else 0
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            saved[node[:d]] += own
+    rows = []
+    for node, m in members.items():
+        digest = hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest()
+        parent = min(members[node[:-1]]) if node else None
+        rows.append((min(m), len(node), parent, len(m), children[node], leaves[node], saved[node], digest))
+    return sorted(rows, key=str)
+
+
+def rows_of(frame):
+    return sorted((tuple(r) for r in frame.select(*NAMES).collect()), key=str)
+
+
+def random_rows(seed, n, long=0):
+    pick = random.Random(seed)
+    rows = []
+    for c in range(n):
+        kind = pick.random()
+        if kind < 0.3:
+            turns = [("user", "the same opening"), ("assistant", "the same answer")]  # a third ends alike
+        elif kind < 0.5:
+            turns = [("user", "the same opening")] + [("user", pick.choice("abc") * 3) for _ in range(pick.randrange(4))]
+        else:
+            turns = [(pick.choice(["user", None, "assistant"]), pick.choice(["x", "é", "", None, "yy"])) for _ in range(pick.randrange(1, 12))]
+        rows += [(c, i if pick.random() < 0.95 else None, *t) for i, t in enumerate(turns)]
+    rows += [(n, i, "user", f"turn {i % 3}") for i in range(long)] + [(n + 1, i, "user", f"turn {i % 3}") for i in range(long // 2)]
+    pick.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("range_turns", [50_000, 40, 3])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_cut_into_ranges_gives_the_same_trie(spark, monkeypatch, seed, range_turns):
+    monkeypatch.setattr(conversation_trie, "RANGE_TURNS", range_turns)
+    monkeypatch.setattr(conversation_trie, "PIECE_IDS", 3)
+    rows = random_rows(seed, 120, long=60)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert rows_of(prefix_trie(sequences(frame))) == trie(in_order(rows))
+    assert rows_of(prefix_trie(with_shared_heads(sequences(frame)))) == trie(rebuilt(in_order(rows)))
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (0, None, "user", "a"), (0, None, "user", "a"), (0, None, None, None), (0, 1, "user", "é" * 50_000), (0, 1, "b", ""),
+        (5, 1, "b", ""), (5, 0, None, None), (7, 3, "user", "a"), (-3, 1, "user", "a"), (-5, 1, "user", "b"),
+        (None, 1, "user", "a"), (None, None, None, None), (4, 1, "user", " " * 100_000), (9223372036854775807, 0, "x", "y"),
+    ]
+    schema = SCHEMA + ", code string, variant string, turns string, range int, side int, tie int, base int"
+    frame = spark.createDataFrame([(*r, "c", "v", "t", 1, 2, 3, 4) for r in rows], schema)
+    assert rows_of(prefix_trie(sequences(frame))) == trie(in_order(rows))
+    assert rows_of(prefix_trie(with_shared_heads(sequences(frame)))) == trie(rebuilt(in_order(rows)))
+
+
+def test_different_turns_of_one_code_stay_apart(spark, monkeypatch):
+    def one_code(*columns):
+        return F.lit(7).cast("bigint")
+
+    monkeypatch.setattr(conversation_trie.F, "xxhash64", one_code)
+    rows = random_rows(3, 40)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert rows_of(prefix_trie(sequences(frame))) == trie(in_order(rows))
+
+
+def test_no_conversations(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert rows_of(prefix_trie(with_shared_heads(sequences(empty)))) == []
+
+
+def test_median_insertion_keeps_siblings_shallow():
+    assert sorted(medians_first(1000)) == list(range(1000))
+    tree = TernaryTree()
+    for i in medians_first(1023):
+        tree.insert([i], 1, i)
+
+    def height(node):
+        return 0 if node < 0 else 1 + max(height(tree.low[node]), height(tree.high[node]))
+
+    assert height(tree.equal[0]) == 10
+
+
+def test_query_on_whole_table(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    found = queries.op11_conversation_trie(spark, sf_dir)
+    assert rows_of(found) == trie(rebuilt(in_order(rows)))
+    assert spark_rows(found) == duck_rows(connect(sf_dir), queries.ORACLE_SQL["op11_conversation_trie"])
