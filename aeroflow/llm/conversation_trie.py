@@ -38,13 +38,16 @@ def _turns(conversations: DataFrame, conv: str, turn: str, role: str, text: str)
 def _numbered(turns: DataFrame) -> DataFrame:
     """``variant`` tells apart different turns of one 64-bit code; it is 0 for nearly all of them.
 
-    The dictionary of distinct turns is compared text by text, so ids are exact, whatever the
-    texts. Texts with a code of their own need no entry; the others are joined.
+    All turns of a code are compared, text by text, so ids are exact whatever the texts. Codes with
+    one text need no entry; the distinct texts of others are numbered and joined.
     """
-    dictionary = turns.select("code", "role", "text").distinct()
+    turn = F.struct("role", "text")
+    codes = turns.groupBy("code").agg(F.min(turn).alias("least"), F.max(turn).alias("greatest"))
+    clashing = stored(codes.where("least <> greatest").select("code"), "clashing-codes")
+    dictionary = turns.join(clashing, "code", "left_semi").select("code", "role", "text").distinct()
     among = F.row_number().over(Window.partitionBy("code").orderBy("role", "text")) - 1
-    clashes = stored(dictionary.withColumn("variant", among).where("variant > 0"), "turn-clashes")
-    return turns.join(clashes, ["code", "role", "text"], "left").withColumn("variant", F.coalesce("variant", F.lit(0)))
+    variants = stored(dictionary.withColumn("variant", among).where("variant > 0"), "turn-variants")
+    return turns.join(variants, ["code", "role", "text"], "left").withColumn("variant", F.coalesce("variant", F.lit(0)))
 
 
 def _collected(turns: DataFrame, tie: Column) -> DataFrame:
