@@ -19,6 +19,7 @@ from aeroflow.llm import (
     suffix_dedup,
     token_counts,
     toxicity,
+    winnowing,
 )
 from aeroflow.llm.common import table
 from aeroflow.session import prepare
@@ -89,6 +90,10 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(conversation_trie.with_shared_heads(found))
 
 
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.against_next(table(prepare(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_conversation_trie": op11_conversation_trie,
+    "op12_winnowing": op12_winnowing,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
