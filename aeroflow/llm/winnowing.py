@@ -15,8 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeroflow.llm.common import stored, text_of
@@ -133,9 +132,6 @@ _COMPARED = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double, n_kept bigint"
 )
-# The rows at both ends of a range have no result yet, or give one to the range before.
-_EDGES = "range int, edge string, text string"
-_SORTED = f"{_COMPARED}, {_EDGES}"
 _ROWS_OUT = 256
 
 
@@ -188,6 +184,30 @@ def _compared(winnow: Winnow, doc: tuple[int | None, str, Fingerprint], other: s
     return doc_id, len(text), digest, mine.digits(), kept.digits(), mine.likeness(kept), mine.likeness(theirs), len(mine.hashes)
 
 
+_KEY = ("no_id", "down", "hash")  # the order of documents: ids fall, none comes last
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    down = F.coalesce(F.bitwise_not("doc_id"), F.lit(0))
+    return docs.withColumns({"no_id": F.isnull("doc_id"), "down": down, "hash": F.xxhash64("text")})
+
+
+def _sortable(no_id: np.ndarray, down: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """Keys as byte strings of one length that sort as the keys do."""
+    out = np.empty(len(down), [("no_id", "u1"), ("down", ">u8"), ("hash", ">u8")])
+    sign = _U(1 << 63)
+    out["no_id"], out["down"], out["hash"] = no_id, down.view(np.uint64) ^ sign, hashed.view(np.uint64) ^ sign
+    return out.view("S17").ravel()
+
+
+def _cuts(keys: DataFrame) -> np.ndarray:
+    """The first key of each of some ranges of about equal length: as many as there are shuffle partitions."""
+    ranged = keys.repartitionByRange(*_KEY)
+    firsts = ranged.groupBy(F.spark_partition_id()).agg(F.min(F.struct(*_KEY)).alias("first")).select("first.*").collect()
+    columns = [np.array([r[c] for r in firsts], t) for c, t in zip(_KEY, (bool, np.int64, np.int64), strict=True)]
+    return np.sort(_sortable(*columns))
+
+
 def against_next(docs: DataFrame, winnow: Winnow = Winnow(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's fingerprint against that of an edit and that of the next document.
 
@@ -197,45 +217,44 @@ def against_next(docs: DataFrame, winnow: Winnow = Winnow(), id_col: str = "doc_
     beginning of the next document (``edited``). NULL is the empty text. An empty table gives no rows.
     Ids are integers. ``near_edited`` and ``near_next`` are 0 to 1 (``Fingerprint.likeness``).
 
-    Texts are sorted in ranges, once; only the rows at both ends of a range are joined to their
-    neighbours' afterwards. Ranges are cut by id, text hash and row, so that no id or text is
-    too frequent for one task.
+    Ids and text hashes are sorted first, and cut into ranges; then texts go to their ranges, once, and
+    the first row of a range to the end of the range before as well. Rows of one id and text
+    are counted before that, so that no id or text is too frequent for one task.
     """
+    rows = _keyed(_texts(docs, id_col, text_col))
+    keys = stored(rows.groupBy(*_KEY).agg(F.count("*").alias("copies")), "document-keys")
+    cuts = _cuts(keys)
+    ranges = max(1, len(cuts))
+
+    @F.arrow_udf("int")
+    def place(no_id: pa.Array, down: pa.Array, hashed: pa.Array) -> pa.Array:
+        """Twice the number of a key's range, and 1 more for the first key of one."""
+        sought = _sortable(*(c.to_numpy(zero_copy_only=False) for c in (no_id, down, hashed)))
+        found = np.searchsorted(cuts, sought, "right") - 1
+        return pa.array(2 * found + (cuts[found] == sought), pa.int32())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId()
-
         def compared() -> Iterator[tuple]:
-            held = None
-            for doc_id, text in _rows(batches, "doc_id", "text"):
+            held, done = None, False
+            for doc_id, text, copies, closing in _rows(batches, "doc_id", "text", "copies", "closing"):
+                if done:  # a further text with the next range's first key
+                    continue
                 kept = winnow.fingerprint(text)
-                if held is None:
-                    yield *[None] * 8, number, "first", text
-                else:
-                    yield *_compared(winnow, held, text, kept), None, None, None
-                held = doc_id, text, kept
-            if held is not None:
-                yield held[0], *[None] * 7, number, "last", held[1]
-
-        return _batches(compared(), _SORTED)
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def compared() -> Iterator[tuple]:
-            for doc_id, text, other in _rows(batches, "doc_id", "text", "other"):
-                yield _compared(winnow, (doc_id, text, winnow.fingerprint(text)), other, winnow.fingerprint(other))
+                if held is not None:
+                    yield _compared(winnow, held, text, kept)
+                held, done = (doc_id, text, kept), closing
+                if copies > 1 and not closing:
+                    yield from itertools.repeat(_compared(winnow, held, text, kept), copies - 1)
 
         return _batches(compared(), _COMPARED)
 
-    order = [F.col("doc_id").desc_nulls_last(), F.col("hash"), F.col("row")]
-    keyed = _texts(docs, id_col, text_col).withColumns({"hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
-    in_order = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
-    found = stored(in_order.select("doc_id", "text").mapInArrow(run, _SORTED), "winnowed")
-
-    names = [c.split()[0] for c in _COMPARED.split(", ")]
-    first = found.where("edge = 'first'").select(F.col("range").alias("after"), F.col("text").alias("other"))
-    # As many rows as there are ranges, and no text.
-    ranges = found.where("edge = 'first'").select("range")
-    after = F.coalesce(F.lead("range").over(Window.orderBy("range")), F.min("range").over(Window.partitionBy()))
-    last = found.where("edge = 'last'").select("doc_id", "text", "range").join(ranges.withColumn("after", after), "range")
-    ends = last.join(first, "after").select("doc_id", "text", "other").mapInArrow(finish, _COMPARED)
-    return found.where("edge is null").select(*names).unionByName(ends)
+    repeated = stored(keys.where("copies > 1").select(*_KEY), "repeated-keys")
+    once = rows.join(repeated, [*_KEY], "left_anti").withColumn("copies", F.lit(1).cast("bigint"))
+    again = rows.join(repeated, [*_KEY], "left_semi").groupBy(*_KEY, "doc_id", "text").agg(F.count("*").alias("copies"))
+    placed = once.unionByName(again).withColumn("place", place(*_KEY))
+    here = F.struct(F.floor(F.col("place") / 2).cast("int").alias("range"), F.lit(False).alias("closing"))
+    before = F.struct(F.pmod(here["range"] - 1, F.lit(ranges)).alias("range"), F.lit(True).alias("closing"))
+    sent = placed.withColumn("to", F.explode(F.when(F.col("place") % 2 == 1, F.array(here, before)).otherwise(F.array(here))))
+    named = sent.select("doc_id", "text", "copies", "to.range", "to.closing", *_KEY)
+    in_order = named.repartitionById(ranges, "range").sortWithinPartitions("closing", *_KEY, "text")
+    return in_order.select("doc_id", "text", "copies", "closing").mapInArrow(run, _COMPARED)

@@ -114,6 +114,11 @@ def test_awkward_rows(spark, parts):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_many_copies_of_one_row(spark):
+    rows = [(3, "the same text of a document " * 4)] * 40 + [(None, None)] * 30 + [(i, f"number {i} " * 9) for i in range(20)]
+    check(spark, against_next(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)), rows)
+
+
 def test_clashing_names_empty_table_single_row(spark):
     rows = clashing_rows()
     check(spark, against_next(spark.createDataFrame(rows, CLASHING)), [r[:2] for r in rows])
