@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeroflow.llm.common import stored, text_of
+from aeroflow.llm.common import size_in_bytes, stored, text_of
 
 GRAM = 24
 WINDOW = 40
+RANGE_BYTES = 128 << 20
 BLOCK = 1 << 18  # windows that are looked at together
 
 _U = np.uint64
@@ -201,8 +202,10 @@ def _sortable(no_id: np.ndarray, down: np.ndarray, hashed: np.ndarray) -> np.nda
 
 
 def _cuts(keys: DataFrame) -> np.ndarray:
-    """The first key of each of some ranges of about equal length: as many as there are shuffle partitions."""
-    ranged = keys.repartitionByRange(*_KEY)
+    """The first key of each of some ranges of about equal length: a shuffle partition's, or of 128 MB of text."""
+    size = keys.agg(F.sum("bytes")).first()[0] or 0
+    least = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = keys.repartitionByRange(max(least, size // RANGE_BYTES), *_KEY)
     firsts = ranged.groupBy(F.spark_partition_id()).agg(F.min(F.struct(*_KEY)).alias("first")).select("first.*").collect()
     columns = [np.array([r[c] for r in firsts], t) for c, t in zip(_KEY, (bool, np.int64, np.int64), strict=True)]
     return np.sort(_sortable(*columns))
@@ -222,7 +225,8 @@ def against_next(docs: DataFrame, winnow: Winnow = Winnow(), id_col: str = "doc_
     are counted before that, so that no id or text is too frequent for one task.
     """
     rows = _keyed(_texts(docs, id_col, text_col))
-    keys = stored(rows.groupBy(*_KEY).agg(F.count("*").alias("copies")), "document-keys")
+    counted = rows.groupBy(*_KEY).agg(F.count("*").alias("copies"), F.sum(size_in_bytes(F.col("text"))).alias("bytes"))
+    keys = stored(counted, "document-keys")
     cuts = _cuts(keys)
     ranges = max(1, len(cuts))
 
