@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroflow.llm import (
+    collocations,
     conversation_trie,
     decontaminate,
     exact_dedup,
@@ -94,6 +95,10 @@ def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.against_next(table(prepare(spark), sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(prepare(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_conversation_trie": op11_conversation_trie,
     "op12_winnowing": op12_winnowing,
+    "op13_collocations": op13_collocations,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -177,4 +183,33 @@ with turns as (
 select p.conv_id, p.depth, p.parent_conv_id, p.n_convs, p.n_children, cast(b.n_leaves as bigint) as n_leaves,
   cast(b.saved as bigint) as saved_tokens, p.ends_sha256
 from placed p join below b on p.node = b.node""",
+    "op13_collocations": r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), words as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), sizes as (
+  select lang, cast(sum(len(w)) as bigint) as n from words group by lang
+), counts as (
+  select lang, w[i:i + m - 1] as p, count(*) as f
+  from words, unnest(range(1, 6)) as lengths(m), unnest(range(1, len(w) - m + 2)) as places(i)
+  group by all having count(*) >= 100
+), cuts as (
+  select c.lang, c.p, c.f as a, x.f as l, y.f as r, s.n, (1000::hugeint * c.f * s.n) // (x.f::hugeint * y.f) as score, k
+  from counts c join sizes s on c.lang = s.lang, unnest(range(1, len(c.p))) as u(k)
+  join counts x on x.lang = c.lang and x.p = c.p[1:k] join counts y on y.lang = c.lang and y.p = c.p[k + 1:]
+), worst as (
+  select * from cuts qualify row_number() over (partition by lang, p order by score, k) = 1
+), within as (
+  select lang, p[i:j] as p, max(f) as most from counts, unnest(range(1, len(p) + 1)) as u(i), unnest(range(i, len(p) + 1)) as v(j)
+  where j - i + 1 < len(p) group by all
+), ranked as (
+  select w.lang, row_number() over (partition by w.lang order by w.score desc, w.a desc, array_to_string(w.p, ' ')) as rank,
+    array_to_string(w.p, ' ') as phrase, a, l, r, n, cast(score as bigint) as score
+  from worst w left join within i on i.lang = w.lang and i.p = w.p
+  where i.most is null or 100 * i.most < 100 * w.a
+)
+select * from ranked where rank <= 2000""",
 }
