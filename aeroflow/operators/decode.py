@@ -106,22 +106,26 @@ def rejected_airports(parsed: DataFrame) -> DataFrame:
     return _rejects(parsed.where(is_rejected_airport()), F.col("_id").isNull(), "missing_id")
 
 
-def parse_flight_pages(messages: DataFrame, *, keep_raw: bool = False) -> DataFrame:
+def parse_flight_pages(
+    messages: DataFrame, fields: dict[str, str] | None = None, *, keep_raw: bool = False
+) -> DataFrame:
     """One row per message with ``flights``, the array of flights it holds.
 
     A message is either a page ``{"data": [...]}`` or a single flight without
     the page around it. ``flights`` is NULL or empty when it is neither; elements that
-    hold no field of a flight are left out. ``keep_raw`` adds the text of messages without
+    hold no field of a flight are left out. ``fields`` narrows the parse to fields of a flight, with
+    their types; it also narrows what counts as one. ``keep_raw`` adds the text of messages without
     flights, and of those of which something was lost, as ``raw``.
     """
     source = ["key", *schemas.SOURCE_COLUMNS]
-    opened = open_document(messages, schemas.FLIGHT_MESSAGE_DOC, *source, "value", corrupt=True)
+    flight = schemas.FLIGHT_DOC if fields is None else fields
+    opened = open_document(messages, schemas.flight_message(flight), *source, "value", corrupt=True)
     text, lost = message_text(F.col("value")), F.col(CORRUPT).isNotNull()
-    fields = [F.col(name) for name in schemas.FLIGHT_DOC]
-    bare_flight = F.when(_any_value(fields), F.array(F.struct(*fields)))
-    data = F.when(lost & F.col("data").isNull(), _good_elements(text, "data", schemas.FLIGHT_DOC)).otherwise(F.col("data"))
+    columns = [F.col(name) for name in flight]
+    bare_flight = F.when(_any_value(columns), F.array(F.struct(*columns)))
+    data = F.when(lost & F.col("data").isNull(), _good_elements(text, "data", flight)).otherwise(F.col("data"))
     sent = opened.select(*source, "value", CORRUPT, F.explode(F.array(F.coalesce(data, bare_flight))).alias("sent"))
-    flights = F.filter("sent", lambda f: _any_value([f[name] for name in schemas.FLIGHT_DOC]))
+    flights = F.filter("sent", lambda f: _any_value([f[name] for name in flight]))
     pages = sent.withColumn("flights", flights)
     if keep_raw:
         missing = array_size("flights") < F.greatest(array_size("sent"), F.lit(1))

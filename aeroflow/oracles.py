@@ -187,6 +187,14 @@ from {DAILY_DELAY} cross join (select min(avg_delay) as mn, max(avg_delay) as mx
     "publish_records": "select * from flights",
     "stream_flights_ingest": "select * from flights",
 }
+_FLIGHT_SQL["compacted_flights"] = _FLIGHT_SQL["flights_flatten"]
+_FLIGHT_SQL["compacted_versions"] = """select version, flight_status, count(*) as n_flights
+  from flights cross join (select unnest(['batches', 'version 1']) as version) group by version, flight_status"""
+_FLIGHT_SQL["live_departures_per_day"] = _FLIGHT_SQL["departures_per_day"]
+_FLIGHT_SQL["live_avg_departure_delay"] = _FLIGHT_SQL["avg_departure_delay"]
+_FLIGHT_SQL["live_flights_by_status"] = _FLIGHT_SQL["flights_by_status"]
+_FLIGHT_SQL["live_status_stats"] = """select flight_status, count(*) as n_flights,
+  count(distinct airline_name) as n_airlines, true as close from flights group by flight_status"""
 _FLIGHT_SQL["stream_top_destinations"] = _FLIGHT_SQL["top_destinations"]
 _FLIGHT_SQL["stream_time_range"] = _FLIGHT_SQL["filter_time_range"]
 
@@ -208,6 +216,7 @@ _AIRPORT_SQL = {
     "distinct_airport_ids": "select distinct _id from airportsint order by _id asc nulls last",
     "airport_names": "select name from airportsint",
     "stream_airports_ingest": "select * from airportsint",
+    "stream_current_airports": "select _id, name from airportsint",
 }
 
 _FREQUENCY_SQL = {

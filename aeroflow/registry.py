@@ -15,11 +15,12 @@ from aeroflow.plans import airports as ap
 from aeroflow.plans import build
 from aeroflow.plans import flights as fl
 from aeroflow.session import fresh_dir
-from aeroflow.sinks import FileTopicSink, to_records
+from aeroflow.sinks import FileTopicSink, ParquetSink, to_records
 from aeroflow.sources.generated import AIRPORTS_TOPIC, FLIGHTS_TOPIC, STRAY_TOPIC
 from aeroflow.sources.tables import TABLES
 from aeroflow.sources.topics import peek
 from aeroflow.streaming import AIRPORT_JOB, FLIGHT_JOB
+from aeroflow.streaming import panels as live
 from aeroflow.streaming.ingest import (
     DOCUMENTS,
     MESSAGE_POSITION,
@@ -488,3 +489,49 @@ def stream_airport_freshness(w: Workspace) -> DataFrame:
     ddl = schemas.ddl_row({"airport_id": "string"} | MESSAGE_POSITION)
     documents = w.ingested(AIRPORTS_TOPIC).read(w.spark, DOCUMENTS, ddl)
     return ap.freshness_by(documents, "airport_id", "timestamp")
+
+
+# --- tables and panels kept up to date --------------------------------------
+
+
+@query
+def compacted_flights(w: Workspace) -> DataFrame:
+    """Flights of many batches, read by a manifest of compacted files."""
+    sink = w.compacted_flights()
+    return sink.read(w.spark, "flights", schemas.ddl_row(schemas.FLIGHTS_TABLE)).drop("job", "batch_id", "flight_month", "raw_json")
+
+
+@query
+def compacted_versions(w: Workspace) -> DataFrame:
+    """Flights per status in the batches as they were written, and in version 1."""
+    ddl, sink = schemas.ddl_row({"flight_status": "string"}), w.compacted_flights()
+    before = ParquetSink(sink.root).read(w.spark, "flights", ddl).withColumn("version", F.lit("batches"))
+    after = sink.read_version(w.spark, "flights", ddl, 1).withColumn("version", F.lit("version 1"))
+    return before.unionByName(after).groupBy("version", "flight_status").agg(F.count("*").alias("n_flights"))
+
+
+@query
+def stream_current_airports(w: Workspace) -> DataFrame:
+    """All rows that the current-airports job has appended: one for each airport, for all re-sends."""
+    return w.current().read(w.spark, "airports", schemas.ddl_row(schemas.AIRPORTS_TABLE)).select("_id", "name")
+
+
+def _live_panel(name: str, table: str, panel: Callable[[DataFrame], DataFrame]) -> None:
+    def run(w: Workspace) -> DataFrame:
+        return panel(live.merged(w.spark, w.panels(), table))
+
+    run.__name__ = name
+    query(run)
+
+
+_live_panel("live_departures_per_day", live.DAY_SUMS, live.departures_per_day)
+_live_panel("live_avg_departure_delay", live.DAY_SUMS, live.avg_departure_delay)
+_live_panel("live_flights_by_status", live.DAY_SUMS, live.flights_by_status)
+
+
+@query
+def live_status_stats(w: Workspace) -> DataFrame:
+    """Airlines by sketches, and whether the estimate of flight numbers is within 4 standard errors."""
+    stats = live.status_stats(live.merged(w.spark, w.panels(), live.STATUS_SKETCHES))
+    error = F.abs(F.col("n_flight_numbers") / F.col("n_flights") - 1)  # numbers are distinct
+    return stats.select("flight_status", "n_flights", "n_airlines", (error < 4 * 0.0082).alias("close"))

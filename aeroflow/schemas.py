@@ -101,8 +101,13 @@ FLIGHT_DOC = {
     "live": "string",
 }
 
-# A page of flights, or one flight without the page around it.
-FLIGHT_MESSAGE_DOC = {"data": f"array<{ddl_struct(FLIGHT_DOC)}>"} | FLIGHT_DOC
+
+def flight_message(flight: dict[str, str]) -> dict[str, str]:
+    """A page of flights, or one flight without the page around it."""
+    return {"data": f"array<{ddl_struct(flight)}>"} | flight
+
+
+FLIGHT_MESSAGE_DOC = flight_message(FLIGHT_DOC)
 
 # One record of a topic, as the Kafka source delivers it.
 MESSAGE_FIELDS = {

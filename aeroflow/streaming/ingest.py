@@ -186,7 +186,8 @@ def write_batch(
     totals = {name: sum(e[name] for e in entries) for name in job.counts() | job.distinct()}
     outputs = job.tables(documents) | {REJECTS: job.rejects(documents)}
     for table, rows in outputs.items():
-        if totals[table]:
+        # A table that is not counted itself has rows whenever there were messages.
+        if totals.get(table, len(entries)):
             sink.write(table, rows, job_id, batch_id)
     if entries:
         rows = [tuple(e[c] if c in e else None for c in AUDIT_TABLE) for e in entries]

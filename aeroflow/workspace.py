@@ -13,14 +13,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aeroflow import schemas
 from aeroflow.operators import decode
 from aeroflow.plans import build
 from aeroflow.session import prepare, shared_dir
-from aeroflow.sinks import FileTopicSink, ParquetSink
+from aeroflow.sinks import CompactingSink, FileTopicSink, ParquetSink
 from aeroflow.sources import generated
 from aeroflow.sources.tables import read_table
 from aeroflow.sources.topics import FileTopic
-from aeroflow.streaming import AIRPORT_JOB, FLIGHT_JOB, ingest
+from aeroflow.streaming import AIRPORT_JOB, FLIGHT_JOB, PANEL_JOB, current_job, ingest
+from aeroflow.streaming.panels import compact_panels
 
 TOPICS = {
     generated.FLIGHTS_TOPIC: generated.flight_messages,
@@ -34,6 +36,10 @@ JOBS = {
 }
 
 
+# Files of a topic that is read in small batches.
+BATCHES = 6
+
+
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = prepare(spark)
@@ -119,6 +125,51 @@ class Workspace:
         self._once(f"stream {topic}", run)
         return sink
 
+    def in_batches(self, topic: str) -> FileTopic:
+        """The topic again, in files by the time of sending, read in a batch each: re-sends come later."""
+        path = f"{self.root}/topics/{topic}-batches"
+
+        def publish() -> None:
+            records = self.messages(topic).repartitionByRange(BATCHES, "timestamp", "offset")
+            FileTopicSink(path).publish(records, "overwrite")
+
+        self._once(f"batches {topic}", publish)
+        return FileTopic(path, max_files_per_trigger=1)
+
+    def compacted_flights(self) -> CompactingSink:
+        """The sink of a flight job that ran in many batches, compacted after the first run."""
+        sink = CompactingSink(f"{self.root}/compacted/flights")
+
+        def run() -> None:
+            ingest(self.spark, FLIGHT_JOB, self.in_batches(generated.FLIGHTS_TOPIC), sink, f"{self.root}/checkpoints/compacted")
+            sink.compact(self.spark, "flights", schemas.ddl_row(schemas.FLIGHTS_TABLE))
+
+        self._once("compacted flights", run)
+        return sink
+
+    def panels(self) -> CompactingSink:
+        """Panel sums of many batches: compacted, and then given the strays of another job on top."""
+        sink = CompactingSink(f"{self.root}/panels")
+
+        def run() -> None:
+            ingest(self.spark, PANEL_JOB, self.in_batches(generated.FLIGHTS_TOPIC), sink, f"{self.root}/checkpoints/panels")
+            compact_panels(self.spark, sink)
+            ingest(self.spark, PANEL_JOB, self.in_batches(generated.STRAY_TOPIC), sink, f"{self.root}/checkpoints/panel-strays")
+
+        self._once("panels", run)
+        return sink
+
+    def current(self) -> ParquetSink:
+        """The sink of the job that keeps one row per airport, stopped after each batch and started again."""
+        sink = ParquetSink(f"{self.root}/current")
+
+        def run() -> None:
+            for _ in range(2):  # the second run starts from the checkpoint and finds nothing new
+                ingest(self.spark, current_job(), self.in_batches(generated.AIRPORTS_TOPIC), sink, f"{self.root}/checkpoints/current")
+
+        self._once("current", run)
+        return sink
+
 
 _open: dict[tuple[str, str], Workspace] = {}
 _open_lock = threading.Lock()
