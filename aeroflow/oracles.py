@@ -255,6 +255,16 @@ _JOINED_SQL = {
 }
 
 _MESSAGE_SQL = {
+    "long_amounts": """with sums as (
+  select l_returnflag, sum(case when l_linenumber % 3 = 0 then -1 else 1 end * l_orderkey)::hugeint * 100000000000000000 as whole,
+    sum(case when l_linenumber % 3 = 0 then -1 else 1 end * l_partkey)::hugeint as parts
+  from lineitem group by l_returnflag
+), scaled as (
+  select l_returnflag, abs(whole * 1000000000000 + parts) as total, whole * 1000000000000 + parts < 0 as negative from sums
+)
+select l_returnflag, case when negative then '-' else '' end || (total // 1000000000000)::varchar || '.'
+  || rpad(rtrim(lpad((total % 1000000000000)::varchar, 12, '0'), '0'), greatest(8, length(rtrim(lpad((total % 1000000000000)::varchar, 12, '0'), '0')))::int, '0') as total
+from scaled""",
     "airports_parse": _with(AIRPORTS, AIRPORT_MESSAGES)
     + """select _id, name, icao_code as "icaoCode", iata_code as "iataCode", type, country, ppr, private,
   skydive_activity as "skydiveActivity", winch_only as "winchOnly", latitude, longitude, elevation_value

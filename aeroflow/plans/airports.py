@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeroflow.functions import as_numeric, min_max_scale
+from aeroflow.functions import min_max_scale
 from aeroflow.operators import panels
 from aeroflow.operators.flatten import with_position
+from aeroflow.operators.numeric import is_number, numeric_order, sum_numeric
 
 def airports_clean(airports: DataFrame) -> DataFrame:
     """Airports with an ICAO code, their position as numbers."""
@@ -44,13 +45,12 @@ def airports_by_country(airports: DataFrame, n: int = 10) -> DataFrame:
 
 
 def total_value(frequencies: DataFrame) -> DataFrame:
-    return frequencies.agg(F.sum(as_numeric(F.col("value"))).alias("total_value"))
+    """The exact sum of all amounts, as text: amounts and sum have any number of digits."""
+    return sum_numeric(frequencies, "value", [], "total_value")
 
 
 def value_by_airport(frequencies: DataFrame) -> DataFrame:
-    return frequencies.groupBy("airport_id").agg(
-        F.sum(as_numeric(F.col("value"))).alias("total_value")
-    )
+    return sum_numeric(frequencies, "value", ["airport_id"], "total_value")
 
 
 def airports_with_value(frequencies: DataFrame, airports: DataFrame, *columns: str) -> DataFrame:
@@ -66,9 +66,8 @@ def airports_with_value(frequencies: DataFrame, airports: DataFrame, *columns: s
 
 
 def value_by_country(frequencies: DataFrame, airports: DataFrame) -> DataFrame:
-    totals = airports_with_value(frequencies, airports, "country").groupBy("country")
-    sums = totals.agg(F.sum("total_value").alias("total_value_country"))
-    return panels.ranked(sums, "total_value_country", "country")
+    totals = airports_with_value(frequencies, airports, "country")
+    return _ranked(sum_numeric(totals, "total_value", ["country"], "total_value_country"), "total_value_country", "country")
 
 
 def top_countries(frequencies: DataFrame, airports: DataFrame, n: int = 15) -> DataFrame:
@@ -77,7 +76,13 @@ def top_countries(frequencies: DataFrame, airports: DataFrame, n: int = 15) -> D
 
 def ranked_airports(frequencies: DataFrame, airports: DataFrame) -> DataFrame:
     totals = airports_with_value(frequencies, airports, "name").select("name", "total_value")
-    return panels.ranked(totals, "total_value", "name")
+    return _ranked(totals, "total_value", "name")
+
+
+def _ranked(totals: DataFrame, value: str, tie_break: str) -> DataFrame:
+    """Largest total first, as ``panels.ranked`` does, by the values of the texts."""
+    order = [F.desc_nulls_first(c) for c in numeric_order(F.col(value))]
+    return totals.orderBy(*order, F.asc_nulls_last(tie_break))
 
 
 def top_airports(frequencies: DataFrame, airports: DataFrame, n: int = 15) -> DataFrame:
@@ -116,7 +121,7 @@ def airport_names(airports: DataFrame) -> DataFrame:
 def uncastable(rows: DataFrame, *columns: str) -> DataFrame:
     """For each text column: values present, and those that are no number and so are in no sum."""
     present = [F.count(F.when(F.trim(c) != "", 1)) for c in columns]
-    numbers = [F.count(as_numeric(F.col(c))) for c in columns]
+    numbers = [F.count(F.when(is_number(F.col(c)), 1)) for c in columns]
     counted = F.array(*[
         F.struct(F.lit(c).alias("column_name"), p.alias("present"), (p - n).alias("uncastable"))
         for c, p, n in zip(columns, present, numbers, strict=True)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from aeroflow import schemas
 from aeroflow.functions import array_size, as_double, json_number
 from aeroflow.operators import decode, flatten
+from aeroflow.operators.numeric import sum_numeric
 from aeroflow.plans import airports as ap
 from aeroflow.plans import build
 from aeroflow.plans import flights as fl
@@ -355,6 +356,17 @@ def value_by_airport(w: Workspace) -> DataFrame:
     return _doubles(ap.value_by_airport(w.table("frequencies")), "total_value")
 
 
+@query
+def long_amounts(w: Workspace) -> DataFrame:
+    """Exact totals of amounts with 20 to 30 digits, some of them negative."""
+    amount = F.concat(
+        F.when(F.col("l_linenumber") % 3 == 0, "-").otherwise(""), F.col("l_orderkey"), F.lit("0" * 17), F.lit("."),
+        F.lpad(F.col("l_partkey").cast("string"), 12, "0"),
+    )
+    lines = w.given("lineitem").select("l_returnflag", amount.alias("amount"))
+    return sum_numeric(lines, "amount", ["l_returnflag"], "total")
+
+
 @query
 def uncastable_values(w: Workspace) -> DataFrame:
     """Frequency texts that are present but no number: none of the values, all of the names."""

@@ -136,9 +136,8 @@ FLIGHTS_TABLE = (
     | {"raw_json": "string"}
 )
 
-# 20 digits before the point and 8 after it; a sum has ten digits more. A bare
-# `decimal` is (10,0) in Spark and would round 118.700 to 119. What does not fit is
-# counted by `plans.airports.uncastable`.
+# Columns that no message fills. A bare `decimal` is (10,0) in Spark and would round 118.700
+# to 119. Amounts stay text, and `operators.numeric` sums them whatever their length.
 NUMERIC = "decimal(28,8)"
 
 AIRPORTS_TABLE = {
