@@ -255,6 +255,19 @@ _JOINED_SQL = {
 }
 
 _MESSAGE_SQL = {
+    "stream_lag": _with(AIRPORT_MESSAGES)
+    + """select moment, 'airports' as topic, partition, case when moment = 'after' then max("offset") end as read_offset,
+  max("offset") as latest_offset, case when moment = 'after' then 0 else count(*) end as lag
+  from airport_messages cross join (select unnest(['before', 'after']) as moment) group by moment, partition""",
+    "republished_topic": _with(AIRPORTS)
+    + """, sent as (
+  select _id, cast(('0x' || substr(md5(_id), 1, 15))::bigint % 3 as int) as partition from airportsint
+), counted as (
+  select partition, 2 * count(*) as n, count(*) as airports from sent group by partition
+)
+select 'names' as topic, partition, case when partition = 1 then n - 10 else n end as messages,
+  case when partition = 1 then 10 else 0 end as first_offset, n - 1 as last_offset,
+  case when partition = 1 then n - 10 else n end as offsets, airports from counted""",
     "long_amounts": """with sums as (
   select l_returnflag, sum(case when l_linenumber % 3 = 0 then -1 else 1 end * l_orderkey)::hugeint * 100000000000000000 as whole,
     sum(case when l_linenumber % 3 = 0 then -1 else 1 end * l_partkey)::hugeint as parts

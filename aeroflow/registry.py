@@ -19,9 +19,10 @@ from aeroflow.session import fresh_dir
 from aeroflow.sinks import FileTopicSink, ParquetSink, to_records
 from aeroflow.sources.generated import AIRPORTS_TOPIC, FLIGHTS_TOPIC, STRAY_TOPIC
 from aeroflow.sources.tables import TABLES
-from aeroflow.sources.topics import peek
+from aeroflow.sources.topics import FileTopic, peek
 from aeroflow.streaming import AIRPORT_JOB, FLIGHT_JOB
 from aeroflow.streaming import panels as live
+from aeroflow.streaming.health import unread
 from aeroflow.streaming.ingest import (
     DOCUMENTS,
     MESSAGE_POSITION,
@@ -547,3 +548,27 @@ def live_status_stats(w: Workspace) -> DataFrame:
     stats = live.status_stats(live.merged(w.spark, w.panels(), live.STATUS_SKETCHES))
     error = F.abs(F.col("n_flight_numbers") / F.col("n_flights") - 1)  # numbers are distinct
     return stats.select("flight_status", "n_flights", "n_airlines", (error < 4 * 0.0082).alias("close"))
+
+
+@query
+def stream_lag(w: Workspace) -> DataFrame:
+    """Messages that the airport job has not read: before its first batch, and when it has caught up."""
+    records = w.topic(AIRPORTS_TOPIC).read(w.spark)
+    audit = w.ingested(AIRPORTS_TOPIC).audit(w.spark, AIRPORT_JOB.audit_ddl()).where(F.col("topic") == AIRPORTS_TOPIC)
+    before = unread(records, audit.limit(0)).withColumn("moment", F.lit("before"))
+    return before.unionByName(unread(records, audit).withColumn("moment", F.lit("after")))
+
+
+@query
+def republished_topic(w: Workspace) -> DataFrame:
+    """Airport names published twice as a topic, and replayed from an offset of its second partition."""
+    path = fresh_dir(w.spark, "republished")
+    sink = FileTopicSink(path)
+    names = to_records(w.table("airports").select("_id", "name"), F.col("_id"))
+    for _ in range(2):
+        sink.append(names, "names", f"{path}-stage")
+    replayed = FileTopic(path).read(w.spark, {1: 10})
+    return replayed.groupBy("topic", "partition").agg(
+        F.count("*").alias("messages"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+        F.count_distinct("offset").alias("offsets"), F.count_distinct("key").alias("airports"),
+    )

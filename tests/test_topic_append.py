@@ -1,0 +1,70 @@
+"""A published folder as a topic, lag, and progress as a table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from aeroflow.sinks import FileTopicSink, ParquetSink
+from aeroflow.sources.topics import FileTopic
+from aeroflow.streaming import FLIGHT_JOB, ingest
+from aeroflow.streaming.health import ProgressLog, unread
+
+
+def records(spark, keys):
+    rows = [(k, f"v{i}") for i, k in enumerate(keys)]
+    return spark.createDataFrame(rows, "key string, value string").select(F.col("key").cast("binary"), F.col("value").cast("binary")).repartition(5)
+
+
+def test_offsets_have_no_gaps_over_appends(spark, tmp_path):
+    sink, topic = FileTopicSink(str(tmp_path / "t")), FileTopic(str(tmp_path / "t"))
+    appends = [["hot"] * 300 + [f"k{i}" for i in range(100)] + [None] * 20, [], ["hot", "new", "new"]]
+    sent = 0
+    for keys in appends:
+        sink.append(records(spark, keys) if keys else records(spark, ["x"]).limit(0), "t", str(tmp_path / "stage"), partitions=4)
+        sent += len(keys)
+        rows = topic.read(spark).collect()
+        assert len(rows) == sent
+        by_partition = {}
+        for r in rows:
+            by_partition.setdefault(r["partition"], []).append(r["offset"])
+        assert all(sorted(o) == list(range(len(o))) for o in by_partition.values())
+    places = {}
+    for r in rows:
+        places.setdefault(r["key"], set()).add(r["partition"])
+    assert all(len(p) == 1 for p in places.values()) and places[None] == {0}
+    late = topic.read(spark, {p: len(o) - 1 for p, o in by_partition.items()})
+    assert late.count() == len(by_partition)
+
+
+def test_lag_falls_to_nothing(spark, messages, tmp_path):
+    page = {"data": [{"flight": {"iata": "A"}}]}
+    topic, sink = FileTopic(str(tmp_path / "topic")), ParquetSink(str(tmp_path / "sink"))
+
+    def lag():
+        audit = sink.audit(spark, FLIGHT_JOB.audit_ddl())
+        return [(r["partition"], r["read_offset"], r["latest_offset"], r["lag"]) for r in unread(topic.read(spark), audit).collect()]
+
+    for n in (2, 3):
+        first = 0 if n == 2 else 10
+        messages([page] * n, first_offset=first).write.mode("append").parquet(topic.path)
+        before = None if n == 2 else 1
+        assert lag() == [(0, before, first + n - 1, n)]
+        ingest(spark, FLIGHT_JOB, topic, sink, str(tmp_path / "checkpoint"))
+        assert lag() == [(0, first + n - 1, first + n - 1, 0)]
+
+
+def test_progress_is_a_table(spark, messages, tmp_path):
+    log = ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    try:
+        topic = FileTopic(str(tmp_path / "topic"), max_files_per_trigger=1)
+        for i in range(2):
+            messages(['{"data": []}'], first_offset=i).coalesce(1).write.mode("append").parquet(topic.path)
+        query = ingest(spark, FLIGHT_JOB, topic, ParquetSink(str(tmp_path / "sink")), str(tmp_path / "checkpoint"))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(log)
+    log.flush()
+    rows = log.read().where(F.col("run_id") == str(query.runId)).orderBy("batch_id").collect()
+    assert [r["batch_id"] for r in rows if r["input_rows"]] == [0, 1]
+    assert all(r["query"] == "ingest_flights" and r["batch_ms"] > 0 for r in rows)
