@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,10 @@ from aeroflow.llm.common import stored, text_of
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that belongs to the vocabulary above.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# One piece, whatever the text.
+WHOLE = r"(?s).+"
+# The pattern's engine follows white space step by step and runs out of stack on very long runs.
+LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 LENGTHS_PER_BLOCK = 4096
 
 
@@ -33,18 +38,35 @@ def encoding(vocabulary: bytes, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def token_count(text: str, words: tiktoken.Encoding, whole: tiktoken.Encoding) -> int:
+    """Number of tokens of a text of any shape.
+
+    Long runs of white space are cut out as the pattern cuts them: all but the last character before
+    something else is one piece. ``words`` has the pattern, ``whole`` the pattern ``WHOLE``.
+    """
+    n, at = 0, 0
+    for run in LONG_SPACE.finditer(text):
+        stop = run.end() - (run.end() < len(text))
+        n += len(words.encode_ordinary(text[at : run.start()])) + len(whole.encode_ordinary(text[run.start() : stop]))
+        at = stop
+    return n + len(words.encode_ordinary(text[at:]))
+
+
 def token_lengths(docs: DataFrame, keys: list[str], text_col: str = "text", vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
-    """``keys`` and ``n_tokens`` for every row; the vocabulary is read here and sent to the tasks."""
+    """``keys`` and ``n_tokens`` for every row; the vocabulary is read here and sent to the tasks.
+
+    A ``pattern`` must take runs of white space as the given one does (``token_count``).
+    """
     with open(vocabulary, "rb") as lines:
         held = docs.sparkSession.sparkContext.broadcast(lines.read())  # one file, whatever the corpus
     rows = docs.select(*(F.col(f"`{k}`") for k in keys), text_of(text_col).alias("_text"))
     fields = ", ".join(f"`{k}` {kind}" for k, kind in rows.dtypes[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(held.value, pattern).encode_ordinary
+        words, whole = encoding(held.value, pattern), encoding(held.value, WHOLE)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            lengths = np.fromiter((len(encode(t.as_py())) for t in texts), np.int64, len(texts))
+            lengths = np.fromiter((token_count(t.as_py(), words, whole) for t in texts), np.int64, len(texts))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lengths)], [*batch.schema.names[:-1], "n_tokens"])
 
     return rows.mapInArrow(run, f"{fields}{', ' if fields else ''}n_tokens bigint")

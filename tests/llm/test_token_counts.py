@@ -64,3 +64,32 @@ def test_empty_table(spark):
     assert token_counts.with_running_sums(counts).collect() == []
     assert token_counts.truncated_totals(counts, [5]) == {5: 0}
     assert token_counts.quantile(counts, 0.5) is None
+
+
+def both(encode):
+    with open(token_counts.VOCABULARY, "rb") as lines:
+        held = lines.read()
+    return token_counts.encoding(held, token_counts.PATTERN), token_counts.encoding(held, token_counts.WHOLE)
+
+
+def test_cutting_white_space_changes_no_count(monkeypatch, encode):
+    import random
+    import re
+
+    monkeypatch.setattr(token_counts, "LONG_SPACE", re.compile(token_counts.LONG_SPACE.pattern.replace("10000", "2")))
+    pick, encodings = random.Random(1), both(encode)
+    for _ in range(400):
+        parts = [pick.choice([" ", "  ", " " * 9, "\n\n", "\t ", "\xa0\xa0", "　 ", "a", "Zeit", "12", "!?", "'s", "é", "\x1c\x1d"]) for _ in range(12)]
+        text = "".join(parts)
+        assert token_counts.token_count(text, *encodings) == len(encode(text)), parts
+
+
+@pytest.mark.parametrize("n", [1_000_000, 10_000_000])
+def test_very_long_runs(spark, encode, n):
+    # Each space of a run is a token of its own, but for the one that belongs to the word after it.
+    texts = {" " * n: n, "x" + " " * n + "y": n + 1, "x" + " " * n: n + 1, "\n" + " " * n + "\t.": None}
+    for text, want in texts.items():
+        found = token_counts.token_count(text, *both(encode))
+        assert want is None or found == want
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([" " * n, "a" * 1_000_000])], "doc_id bigint, text string")
+    assert [r["n_tokens"] for r in token_counts.token_lengths(rows, ["doc_id"]).orderBy("doc_id").collect()] == [n, 250_000]
