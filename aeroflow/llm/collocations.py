@@ -108,14 +108,15 @@ def _vocabulary(counted: DataFrame, least: int) -> DataFrame:
 
 def _numbered(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``(word_ids, codes)`` of each chunk: only frequent words, rare ones being -1."""
-    found = chunks.select("chunk", "lang", F.posexplode("words").alias("place", "word")).join(vocabulary, ["lang", "word"])
+    # Rare words stay, without a number: as many rows leave the join as enter it.
+    found = chunks.select("chunk", "lang", F.posexplode("words").alias("place", "word")).join(vocabulary, ["lang", "word"], "left")
     known = found.groupBy("chunk").agg(F.collect_list(F.struct("place", "word_id")).alias("known"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for known, n_words, codes in zip(batch.column("known"), batch.column("n_words"), batch.column("codes"), strict=True):
-                place = known.values.field("place").to_numpy()
-                word = known.values.field("word_id").to_numpy()
+                frequent = known.values.filter(known.values.field("word_id").is_valid())
+                place, word = frequent.field("place").to_numpy(), frequent.field("word_id").to_numpy()
                 order = np.argsort(word)
                 numbers = np.full(n_words.as_py() + 1, _NONE, np.int32)  # the last one is for -1
                 numbers[place[order]] = np.arange(len(order), dtype=np.int32)
@@ -124,7 +125,7 @@ def _numbered(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
                 arrays = [pa.array([word[order]], pa.list_(pa.int64())), pa.array([pack(kept.tobytes())], pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["word_ids", "codes"])
 
-    named = chunks.select("chunk", F.size("words").alias("n_words"), "codes").join(known, "chunk")
+    named = chunks.where(F.size("words") > 0).select("chunk", F.size("words").alias("n_words"), "codes").join(known, "chunk")
     return stored(named.mapInArrow(run, "word_ids array<bigint>, codes binary"), "phrase-numbers")
 
 
