@@ -53,18 +53,19 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class RangeHash:
-    """Hash of any byte range of a text from running sums, modulo 2^64.
+    """Hash of any range of units from running sums, modulo 2^64.
 
-    The sum of value(byte) * base^place over a range, divided by base^start, depends on the
-    range's bytes only. (The base is odd and has an inverse.)
+    The sum of value(unit) * base^place over a range, divided by base^start, depends on the
+    range's units only. (The base is odd and has an inverse.) Such sums collide for some regular
+    ranges of 1,024 units and more, so ranges must be short and units well hashed.
     """
 
-    def __init__(self, text: np.ndarray, which: int = 0) -> None:
+    def __init__(self, values: np.ndarray, which: int = 0) -> None:
         base = _BASES[which]
         inverse = np.uint64(pow(int(base), -1, 1 << 64))
-        self.sums = np.zeros(len(text) + 1, np.uint64)
-        np.cumsum(_VALUES[which][text] * _powers(base, len(text)), out=self.sums[1:])
-        self.back = _powers(inverse, len(text) + 1)
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * _powers(base, len(values)), out=self.sums[1:])
+        self.back = _powers(inverse, len(values) + 1)
 
     def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         length = (stop - start).astype(np.uint64)
@@ -110,12 +111,23 @@ class Units:
     starts: np.ndarray | None = None
     stops: np.ndarray | None = None
 
-    def first_byte(self, unit: np.ndarray) -> np.ndarray:
-        return unit if self.starts is None else self.starts[unit]
-
-    def last_byte(self, unit: np.ndarray) -> np.ndarray:
-        """The end of the unit before ``unit``."""
-        return unit if self.stops is None else self.stops[unit - 1]
+    def values(self, first: int, last: int, which: int = 0) -> np.ndarray:
+        """A hash of each unit from ``first`` to ``last`` (exclusive): two functions, by ``which``.
+
+        A word's is the sum of a mixed value for each byte and its place in the word, so that words
+        whose bytes are merely exchanged, in whatever pattern, differ.
+        """
+        if self.starts is None or self.stops is None:
+            return _VALUES[which][self.text[first:last]]
+        if last <= first:
+            return np.empty(0, np.uint64)
+        starts, stops = self.starts[first:last], self.stops[first:last]
+        base, end = int(starts[0]), int(stops[-1])
+        places = np.arange(base, end) - np.repeat(starts, np.diff(starts, append=end))
+        byte = self.text[base:end].astype(np.uint64) | places.astype(np.uint64) << np.uint64(8)
+        sums = np.zeros(end - base + 1, np.uint64)
+        np.cumsum(mixed(mixed(byte + _VALUES[which][0]) ^ _VALUES[which][1]), out=sums[1:])
+        return mixed(sums[stops - base] - sums[starts - base] + (stops - starts).astype(np.uint64))
 
     def __len__(self) -> int:
         return int(self.ends[-1]) if len(self.ends) else 0
@@ -138,13 +150,7 @@ def anchors(units: Units, shape: Shape) -> Anchors:
     n = len(units)
     for at in range(0, max(0, n - shape.window + 1), BLOCK):
         stop = min(n - shape.window + 1, at + BLOCK)
-        if units.starts is None:
-            h = RangeHash(units.text[at : stop + shape.window - 1]).runs(shape.gram)
-        else:
-            grams = np.arange(at, stop + shape.choices - 1)
-            a, b = units.first_byte(grams), units.last_byte(grams + shape.gram)
-            base = int(a[0])
-            h = RangeHash(units.text[base : int(b[-1])])(a - base, b - base)
+        h = RangeHash(units.values(at, stop + shape.window - 1)).runs(shape.gram)
         low = np.uint64((1 << _PLACE_BITS) - 1)
         least = sliding_min(h & ~low | np.arange(len(h), dtype=np.uint64), shape.choices)
         place = at + (least & low).astype(np.int64)
@@ -340,10 +346,9 @@ class Windows:
         high, low = (np.empty(len(starts), np.uint64) for _ in range(2))
         for at in range(0, len(starts), BLOCK):
             part = starts[at : at + BLOCK]
-            a, b = units.first_byte(part), units.last_byte(part + window)
-            base = int(a[0])
+            base, end = int(part.min()), int(part.max()) + window
             for which, out in enumerate((high, low)):
-                out[at : at + BLOCK] = RangeHash(units.text[base : int(b.max())], which)(a - base, b - base)
+                out[at : at + BLOCK] = RangeHash(units.values(base, end, which), which)(part - base, part - base + window)
         low = low.astype(np.uint32)
         order = np.lexsort((low, high))  # stable: earlier windows first
         new = np.ones(len(order), bool)

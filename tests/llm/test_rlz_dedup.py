@@ -114,3 +114,30 @@ def test_sliding_min():
     x = np.array([5, 3, 8, 1, 9, 2, 7, 7, 4])
     for width in range(1, 9):
         assert repeats.sliding_min(x, width).tolist() == [min(x[i : i + width]) for i in range(len(x) - width + 1)]
+
+
+def test_regular_words_that_differ_stay(spark):
+    # The Thue-Morse sequence and its exchange have equal polynomial sums modulo 2^64.
+    first = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    same = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{first} {same}"), (2, f"{first.translate(str.maketrans('ab', 'ba'))} {same}"), (3, f"{first} {same}")]
+    found = rlz_dedup.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in found} == {1: 0, 2: 0, 3: 20}
+
+
+def test_words_of_two_letters_as_brute_force(spark):
+
+    pick = random.Random(9)
+    rows = [(i, " ".join("".join(pick.choice("ab") for _ in range(pick.randrange(1, 3))) for _ in range(pick.randrange(400)))) for i in range(40)]
+    found = rlz_dedup.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), window=6).collect()
+    seen, want = set(), {}
+    for i, text in rows:
+        words = text.split()
+        gone = [False] * len(words)
+        for at in range(len(words) - 5):
+            window = tuple(words[at : at + 6])
+            if window in seen:
+                gone[at : at + 6] = [True] * 6
+            seen.add(window)
+        want[i] = sum(gone)
+    assert {r["doc_id"]: r["n_removed"] for r in found} == want
