@@ -124,8 +124,14 @@ def sum_numeric(rows: DataFrame, value: str, keys: Sequence[str], name: str) ->
     length of the numbers and the order of the rows. Without keys there is one row.
     """
     key = F.struct(*keys).alias("key") if keys else F.lit(0).alias("key")
-    cut = with_limbs(rows.select(key, F.col(value).alias("text"))).select("key", F.explode_outer("limbs").alias("limb"))
+    values = rows.select(key, F.col(value).alias("value"))
+    short = F.coalesce(F.regexp_like("value", F.lit(_SHORT)), F.lit(False))
+    ordinary = values.where(short).groupBy("key").agg(F.sum(F.col("value").try_cast(_LIMB)).alias("amount"))
+    cut = with_limbs(values.where(~short).withColumnRenamed("value", "text")).select("key", F.explode_outer("limbs").alias("limb"))
     by_place = cut.groupBy("key", "limb.place").agg(F.sum("limb.amount").alias("amount"))
+    by_place = by_place.unionByName(ordinary.withColumn("place", F.lit(0)))
+    # Both may have a sum in place 0.
+    by_place = by_place.groupBy("key", "place").agg(F.sum("amount").cast(_TOTAL).alias("amount"))
     there = F.when(F.col("place").isNotNull(), F.struct("place", "amount"))
     # Without keys there is a row for no rows, too.
     sums = by_place.groupBy(*(["key"] if keys else [])).agg(F.collect_list(there).alias("limb_sums"))
