@@ -265,9 +265,9 @@ _MESSAGE_SQL = {
 ), counted as (
   select partition, 2 * count(*) as n, count(*) as airports from sent group by partition
 )
-select 'names' as topic, partition, case when partition = 1 then n - 10 else n end as messages,
-  case when partition = 1 then 10 else 0 end as first_offset, n - 1 as last_offset,
-  case when partition = 1 then n - 10 else n end as offsets, airports from counted""",
+select 'names' as topic, partition, case when partition = 1 then n - 1 else n end as messages,
+  case when partition = 1 then 1 else 0 end as first_offset, n - 1 as last_offset,
+  case when partition = 1 then n - 1 else n end as offsets, airports from counted""",
     "long_amounts": """with sums as (
   select l_returnflag, sum(case when l_linenumber % 3 = 0 then -1 else 1 end * l_orderkey)::hugeint * 100000000000000000 as whole,
     sum(case when l_linenumber % 3 = 0 then -1 else 1 end * l_partkey)::hugeint as parts

@@ -567,7 +567,7 @@ def republished_topic(w: Workspace) -> DataFrame:
     names = to_records(w.table("airports").select("_id", "name"), F.col("_id"))
     for _ in range(2):
         sink.append(names, "names", f"{path}-stage")
-    replayed = FileTopic(path).read(w.spark, {1: 10})
+    replayed = FileTopic(path).read(w.spark, {1: 1})
     return replayed.groupBy("topic", "partition").agg(
         F.count("*").alias("messages"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
         F.count_distinct("offset").alias("offsets"), F.count_distinct("key").alias("airports"),
