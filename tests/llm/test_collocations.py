@@ -85,8 +85,8 @@ def test_rounds_leave_hopeless_prefixes_closed(spark, monkeypatch):
         init(self, expand, probe)
 
     monkeypatch.setattr(collocations.Batch, "__init__", spy)
-    monkeypatch.setattr(collocations, "PREFIXES", 8)
-    rules, rows = Rules(2, 5, 3), [(t, "en") for t, _ in random_rows(5, 100)]
+    monkeypatch.setattr(collocations, "PREFIXES", 40)
+    rules, rows = Rules(2, 5, 3), [(t, "en") for t, _ in random_rows(5, 60)]
     frame = spark.createDataFrame(rows, "text string, lang string")
     assert found(collocations.collocations(frame, rules)) == plain(rows, rules)
     every = Counter(p for t, _ in rows for piece in re.split(r"[.,;:!?\x0A-\x0D]", t.translate(SMALL)) for w in [piece.split()] for p in w)
