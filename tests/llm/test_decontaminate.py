@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -113,3 +114,55 @@ def test_empty_tables(spark):
         assert dec.leaks(empty, bench, broadcast_bytes=way).collect() == []
         assert dec.leaks(full, bench, broadcast_bytes=way).collect() == []
     assert dec.clean(full, bench).count() == full.count()
+
+
+def test_texts_of_one_repeated_word():
+    item, doc = np.full(200, 7, np.uint64), np.full(20_000, 7, np.uint64)
+    started = time.perf_counter()
+    assert dec.coverage(item, doc, 5) == (1.0, 1, 200)
+    assert time.perf_counter() - started < 1
+    # Two words in a pattern with many common runs of many lengths.
+    rng = np.random.default_rng(3)
+    item, doc = rng.integers(1, 3, 300).astype(np.uint64), rng.integers(1, 3, 20_000).astype(np.uint64)
+    started = time.perf_counter()
+    assert dec.coverage(item, doc, 5)[0] > 0.9
+    assert time.perf_counter() - started < 2
+
+
+def test_equal_hashes_of_unequal_runs_are_not_tiles(monkeypatch):
+    monkeypatch.setattr(dec.Runs, "hashes", lambda self, length, starts: np.full(len(starts), length, np.uint64))
+    rng = random.Random(11)
+    for _ in range(60):
+        item = [rng.randrange(3) for _ in range(rng.randrange(1, 14))]
+        doc = [rng.randrange(3) for _ in range(rng.randrange(0, 30))]
+        made = dec.tiles(np.array(item, np.uint64), np.array(doc, np.uint64), 2)
+        assert [(t.item_at, t.doc_at, t.length) for t in made] == brute_tiles(item, doc, 2)
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "smallint", "decimal(10,2)", "date"])
+def test_item_ids_of_any_type(spark, kind):
+    text = "alpha beta gamma delta epsilon zeta"
+    docs = spark.createDataFrame([(1, text), (2, "nothing of it")], "doc_id int, text string")
+    day = {"date": "'2024-01-31'"}.get(kind, "'7'")
+    bench = spark.createDataFrame([(text,)], "text string").selectExpr(f"cast({day} as {kind}) as item_id", "text")
+    expected = [(1, bench.first()["item_id"], 1.0, 1, 6)]
+    for way in (0, 1 << 20):
+        found = dec.leaks(docs, bench, broadcast_bytes=way)
+        assert found.schema["item_id"].dataType == bench.schema["item_id"].dataType
+        assert plain(found) == expected
+
+
+def test_items_with_a_common_beginning(spark):
+    start = " ".join(f"please{i}" for i in range(12))
+    items = [(i, start + " " + " ".join(f"i{i}x{j}" for j in range(40))) for i in range(30)]
+    docs = [(i, start + f" and then what nobody asked {i}") for i in range(40)]
+    docs += [(100 + i, items[i][1]) for i in range(0, 30, 7)] + [(200, " ".join(items[3][1].split()[::-1]))]
+    frames = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    expected = brute_leaks(docs, items)
+    assert [d for d, *_ in expected] == [100, 107, 114, 121, 128]
+    for way in (0, 1 << 20):
+        assert plain(dec.leaks(*frames, broadcast_bytes=way)) == expected
+    seeds = dec._seeds(frames[1], "_item", 5, lambda n: [min(5, n)], False)
+    shared = seeds.groupBy("seed").count().where("count = 30").select("seed")
+    assert shared.count() == 8
+    assert dec._rarest_seeds(seeds, 5, 0.8).join(shared, "seed").isEmpty()
