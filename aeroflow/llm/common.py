@@ -63,6 +63,30 @@ def unused_name(wanted: str, taken: Iterable[str]) -> str:
     return wanted
 
 
+# Copies that are numbered by one row at a time.
+COPIES_PER_BLOCK = 1 << 16
+
+
+def each_copy(counted: DataFrame, n: str, number: str) -> DataFrame:
+    """Each row of ``counted`` as often as its column ``n`` says, numbered from 0 in ``number`` in its place.
+
+    Rows that occur very often are dealt out in blocks first, so that no task
+    numbers all copies of one.
+    """
+    rest = [F.col(f"`{c}`") for c in counted.columns if c != n]
+    few = counted.where(F.col(n) <= COPIES_PER_BLOCK).select(
+        *rest, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)).alias(number)
+    )
+    block, last = "_block", F.floor((F.col(n) - 1) / COPIES_PER_BLOCK)
+    blocks = counted.where(F.col(n) > COPIES_PER_BLOCK).select(
+        *rest, F.col(n).alias("_n"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias(block)
+    )
+    low = F.col(block) * COPIES_PER_BLOCK
+    high = F.least(low + COPIES_PER_BLOCK, F.col("_n")) - 1
+    many = blocks.repartition(F.col(block)).select(*rest, F.explode(F.sequence(low, high)).alias(number))
+    return few.unionByName(many)
+
+
 def batches_of(rows: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
     """Arrow batches joined to tables of ``least`` rows or more, so that vector work pays."""
     held: list[pa.RecordBatch] = []

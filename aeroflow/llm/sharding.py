@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aeroflow.llm.common import columns, size_in_bytes, stored, text_of, unused_name
+from aeroflow.llm.common import columns, each_copy, size_in_bytes, stored, text_of, unused_name
 from aeroflow.session import fresh_dir
 
 SLOTS = 8192
@@ -24,7 +24,11 @@ MAP_SCHEMA = "version int, virtual_slot int, shard int, bytes bigint"
 
 def virtual_slot(doc_id: Column, text: Column, slots: int = SLOTS) -> Column:
     """The record's slot. The text takes part, so that rows without an id spread as well."""
-    return F.pmod(F.xxhash64(doc_id, text), F.lit(slots)).cast("int")
+    return _slot_of(F.xxhash64(doc_id, text), slots)
+
+
+def _slot_of(record: Column, slots: int) -> Column:
+    return F.pmod(record, F.lit(slots)).cast("int")
 
 
 def balanced(loads: dict[int, int], slots: int, shards: int) -> dict[int, int]:
@@ -107,11 +111,24 @@ def _records(docs: DataFrame, id_col: str, text_col: str, slots: int) -> DataFra
     text = text_of(text_col)
     return docs.select(
         F.col(id_col).alias("id"), (size_in_bytes(text) + 1).alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(F.col(id_col), text).alias("record"),
         virtual_slot(F.col(id_col), text, slots).alias("virtual_slot"),
     )
 
 
+def _spread_copies(records: DataFrame, slots: int) -> DataFrame:
+    """``records`` with a slot for each copy of a repeated row: its number takes part in the hash.
+
+    Repeated rows are counted, not ordered: the copies of one are alike. The first
+    has the slot that ``virtual_slot`` gives.
+    """
+    counted = records.groupBy("id", "size", "text_crc32", "record").agg(F.count("*").alias("n"))
+    copies = each_copy(stored(counted, "counted"), "n", "copy")
+    again = _slot_of(F.xxhash64("record", "copy"), slots)
+    slot = F.when(F.col("copy") == 0, _slot_of(F.col("record"), slots)).otherwise(again)
+    return copies.select("id", "size", "text_crc32", slot.alias("virtual_slot"))
+
+
 def shard_map(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
               slots: int = SLOTS, path: str | None = None) -> SlotMap:
     """Version 1 of the slot map for ``docs``, stored below ``path`` (a shared folder if not given)."""
@@ -129,11 +146,12 @@ def shard_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``size`` is the bytes of the text plus 1; shards have near equal sums of it. ``slot``
     is the row's place in its shard, gapless from 0, in the order of virtual slot and
-    id. NULL texts count as empty, NULL ids come last within a slot; repeated rows take
-    neighbouring places. An empty table gives an empty result. Other columns are not
-    looked at.
+    id. NULL texts count as empty, NULL ids come last within a slot. Copies of a repeated
+    row have slots of their own, so however many there are, shards stay near equal; a
+    single text larger than a shard's share does not. Equal texts with different ids go to
+    any shards. An empty table gives an empty result. Other columns are not looked at.
     """
-    records = stored(_records(docs, id_col, text_col, slots), "records")
+    records = stored(_spread_copies(_records(docs, id_col, text_col, slots), slots), "records")
     loads = slot_loads(records)
     spark = docs.sparkSession
     slot_map = SlotMap(spark, fresh_dir(spark, "llm-slot-map"), slots)
@@ -157,7 +175,9 @@ def with_shard(docs: DataFrame, slot_map: SlotMap, version: int = 1, id_col: str
     """``docs`` with the shard that a version of the map gives each row; all columns kept.
 
     A column of ``docs`` with the name of the new one gets no clash: the new one has
-    underscores in front.
+    underscores in front. NULL texts count as empty. Repeated rows go to one shard, as
+    nothing but id and text decides; ``shard_rows`` spreads them. An empty table gives an
+    empty result.
     """
     name = unused_name(shard_col, docs.columns)
     slot = unused_name("_virtual_slot", [*docs.columns, name])
@@ -169,6 +189,10 @@ def with_shard(docs: DataFrame, slot_map: SlotMap, version: int = 1, id_col: str
 
 def write_shards(docs: DataFrame, slot_map: SlotMap, path: str, version: int = 1, id_col: str = "doc_id",
                  text_col: str = "text") -> None:
-    """A folder for each shard below ``path``. Tasks write what they read: no shuffle of texts."""
+    """A folder for each shard below ``path``. Tasks write what they read: no shuffle of texts.
+
+    Rows go where ``with_shard`` puts them, NULL and repeated ones too. An empty table writes
+    no folder of a shard.
+    """
     rows = with_shard(docs, slot_map, version, id_col, text_col)
     rows.write.partitionBy(rows.columns[-1]).parquet(path)

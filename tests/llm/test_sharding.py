@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 from fixtures import CLASHING, SCHEMA, awkward_rows, clashing_rows
 from pyspark.sql import functions as F
 
-from aeroflow.llm import queries, sharding
+from aeroflow.llm import common, queries, sharding
 from aeroflow.llm.common import table
 
 
@@ -97,3 +97,34 @@ def test_versions_are_kept(spark, sf_dir, tmp_path):
     written = spark.read.parquet(f"file://{tmp_path}/out")
     assert written.count() == docs.count()
     assert written.select("shard").distinct().count() == 9
+
+
+def test_repeated_rows_do_not_outweigh_a_shard(spark):
+    rows = [(i, f"{i} " * 120, "en", "a", 1) for i in range(400)] + [(7, "x" * 500, "en", "a", 1)] * 400
+    rows += [(None, None, None, None, None)] * 300
+    found = sharding.shard_rows(spark.createDataFrame(rows, SCHEMA)).collect()
+    check_places(found)
+    assert Counter((r["doc_id"], r["size"]) for r in found) == Counter((r[0], len((r[1] or "").encode()) + 1) for r in rows)
+    load = Counter()
+    for r in found:
+        load[r["shard"]] += r["size"]
+    mean = sum(load.values()) / 8
+    assert len(load) == 8
+    assert max(load.values()) - min(load.values()) < 0.05 * mean
+
+
+def test_first_copies_are_where_the_map_puts_them(spark):
+    docs = spark.createDataFrame(awkward_rows()[:12], SCHEMA)
+    slots = {(r["doc_id"], r["text"]): r["s"] for r in docs.withColumn("s", sharding.virtual_slot(F.col("doc_id"), F.coalesce("text", F.lit("")))).collect()}
+    once = Counter(slots.values())
+    found = Counter(r["virtual_slot"] for r in sharding.shard_rows(docs).collect())
+    assert all(found[s] >= n for s, n in once.items())
+
+
+def test_copies_are_numbered_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(common, "COPIES_PER_BLOCK", 4)
+    counts = [1, 3, 4, 5, 8, 9, 17]
+    rows = spark.createDataFrame([(f"r{n}", n) for n in counts], "name string, n bigint")
+    found = common.each_copy(rows, "n", "number")
+    assert found.columns == ["name", "number"]
+    assert sorted(map(tuple, found.collect())) == sorted((f"r{n}", i) for n in counts for i in range(n))
