@@ -9,6 +9,10 @@ Documents are packed into chunks, stored once. A chunk sends each bucket of the
 one sorted block of its distinct hashes, and gets back one block with a flag for each.
 A block holds a hash once, however often the chunk has it, so that a passage with
 copies in every document is a few rows for each chunk, not a group of its own.
+
+Where windows are told apart by their hashes, what follows from it is compared in full: the
+units of each repeated span are sent to the chunk it names as source. If any differ, the
+exchange is made again with other hash functions.
 """
 
 from __future__ import annotations
@@ -36,8 +40,10 @@ LAST_ID = np.iinfo(np.int64).max  # stands for NULL, which comes last
 CHUNK_SCHEMA = "chunk bigint, ids binary, ends binary, text binary"
 
 _rng = np.random.default_rng(20_11)
-_VALUES = _rng.integers(0, 1 << 64, (2, 256), dtype=np.uint64) | np.uint64(1)
-_BASES = (np.uint64(0x5851F42D4C957F2D), np.uint64(0xD1342543DE82EF95))
+# Bits of a window's hash in each attempt; every attempt has two hash functions of its own.
+ATTEMPTS = (96, 96, 96)
+_VALUES = _rng.integers(0, 1 << 64, (2 * len(ATTEMPTS), 256), dtype=np.uint64) | np.uint64(1)
+_BASES = _rng.integers(0, 1 << 61, 2 * len(ATTEMPTS), dtype=np.uint64) * np.uint64(8) + np.uint64(5)
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -97,6 +103,11 @@ class Shape:
     def choices(self) -> int:
         return self.window - self.gram + 1
 
+    @property
+    def piece(self) -> int:
+        """Length in which repeated spans are compared; none is shorter than a window."""
+        return max(1, self.window * 4 // 5)
+
 
 @dataclass
 class Units:
@@ -112,7 +123,7 @@ class Units:
     stops: np.ndarray | None = None
 
     def values(self, first: int, last: int, which: int = 0) -> np.ndarray:
-        """A hash of each unit from ``first`` to ``last`` (exclusive): two functions, by ``which``.
+        """A hash of each unit from ``first`` to ``last`` (exclusive), by one of the functions.
 
         A word's is the sum of a mixed value for each byte and its place in the word, so that words
         whose bytes are merely exchanged, in whatever pattern, differ.
@@ -132,6 +143,16 @@ class Units:
     def __len__(self) -> int:
         return int(self.ends[-1]) if len(self.ends) else 0
 
+    @property
+    def begins(self) -> np.ndarray:
+        return np.concatenate([[0], self.ends[:-1]]) if len(self.ends) else np.empty(0, np.int64)
+
+    def span(self, raw: bytes, first: int, stop: int) -> bytes:
+        """The bytes from unit ``first`` to ``stop`` (exclusive, not empty) of one document."""
+        if self.starts is None or self.stops is None:
+            return raw[first:stop]
+        return raw[self.starts[first] : self.stops[stop - 1]]
+
 
 @dataclass
 class Anchors:
@@ -223,6 +244,8 @@ class Chunks:
         writer = rows.mapInArrow(run, CHUNK_SCHEMA).write.format("parquet").option("path", fresh_dir(spark, "llm-chunks"))
         writer.bucketBy(parts, "chunk").saveAsTable(name)
         chunks = spark.table(name)
+        # The frame knows folder and buckets by now; the files stay, as the folder was given.
+        spark.sql(f"drop table {name}")
         size = chunks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         return cls(chunks, max(parts, -(-3 * size // BUCKET_BYTES)), spark)
 
@@ -341,23 +364,23 @@ class Windows:
     low: np.ndarray
 
     @classmethod
-    def of(cls, units: Units, starts: np.ndarray, docs: np.ndarray, window: int) -> Windows:
+    def of(cls, units: Units, starts: np.ndarray, docs: np.ndarray, window: int, attempt: int = 0, bits: int = ATTEMPTS[0]) -> Windows:
         """``starts`` in the order of documents and places, which is that of ids within a chunk."""
         high, low = (np.empty(len(starts), np.uint64) for _ in range(2))
         for at in range(0, len(starts), BLOCK):
             part = starts[at : at + BLOCK]
             base, end = int(part.min()), int(part.max()) + window
-            for which, out in enumerate((high, low)):
+            for which, out in enumerate((high, low), 2 * attempt):
                 out[at : at + BLOCK] = RangeHash(units.values(base, end, which), which)(part - base, part - base + window)
-        low = low.astype(np.uint32)
+        high >>= np.uint64(max(0, 64 - bits))
+        low = (low & np.uint64((1 << max(0, bits - 64)) - 1)).astype(np.uint32)
         order = np.lexsort((low, high))  # stable: earlier windows first
         new = np.ones(len(order), bool)
         new[1:] = (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])
         first = order[new]
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(new) - 1
-        begin = np.concatenate([[0], units.ends[:-1]]) if len(units.ends) else np.empty(0, np.int64)
-        return cls(starts, docs, starts - begin[docs], group, first, high[first], low[first])
+        return cls(starts, docs, starts - units.begins[docs], group, first, high[first], low[first])
 
     def blocks(self, units: Units, buckets: int) -> Iterator[tuple[int, int, bytes]]:
         for bucket, part in split(self.high, buckets):
@@ -367,23 +390,38 @@ class Windows:
             entries["at"] = self.offset[self.first[part]]
             yield bucket, len(part), self.high[part].tobytes() + pack(entries)
 
-    def sources(self, units: Units, buckets: int, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each window: whether it starts earlier, and id and offset of its earliest start."""
+    def spans(self, units: Units, window: int, chunk: int, buckets: int, answers: dict[int, bytes]) -> np.ndarray:
+        """Windows that start earlier, strung together where their earliest starts follow each other."""
         earlier = np.zeros(len(self.first), bool)
         ids = units.ids[self.doc[self.first]]
         at = self.offset[self.first].copy()
+        chunks = np.full(len(self.first), chunk)
         for bucket, part in split(self.high, buckets):
             raw = unpack(answers[bucket])
             flags = np.unpackbits(np.frombuffer(raw, np.uint8, -(-len(part) // 8)), count=len(part)).astype(bool)
             given = np.frombuffer(raw[-(-len(part) // 8) :], SOURCE)
             found = part[flags]
             earlier[found] = True
-            ids[found], at[found] = given["id"], given["at"]
+            ids[found], at[found], chunks[found] = given["id"], given["at"], given["chunk"]
         own = self.first[self.group] == np.arange(len(self.start))
-        return earlier[self.group] | ~own, ids[self.group], at[self.group]
+        found = np.flatnonzero(earlier[self.group] | ~own)
+        group = self.group[found]
+        start, doc, ids, at, chunks = self.start[found], self.doc[found], ids[group], at[group], chunks[group]
+        new = np.ones(len(found), bool)
+        new[1:] = (
+            (start[1:] != start[:-1] + 1) | (doc[1:] != doc[:-1]) | (ids[1:] != ids[:-1])
+            | (chunks[1:] != chunks[:-1]) | (at[1:] != at[:-1] + 1)
+        )
+        first = np.flatnonzero(new)
+        out = np.empty(len(first), SPAN)
+        out["doc"], out["start"], out["id"], out["at"], out["chunk"] = doc[first], start[first], ids[first], at[first], chunks[first]
+        out["stop"] = start[np.append(first, len(found))[1:] - 1] + window
+        return out
 
 
-SOURCE = np.dtype([("id", "<i8"), ("at", "<u4")])
+SOURCE = np.dtype([("id", "<i8"), ("at", "<u4"), ("chunk", "<i8")])
+# Units ``start`` to ``stop`` of a chunk, in its document ``doc``, also stand at ``at`` of document ``id`` of ``chunk``.
+SPAN = np.dtype([("doc", "<i8"), ("start", "<i8"), ("stop", "<i8"), ("id", "<i8"), ("at", "<i8"), ("chunk", "<i8")])
 
 
 def earliest_windows(chunks: list[int], counts: list[int], blocks: list[bytes]) -> list[bytes]:
@@ -400,17 +438,104 @@ def earliest_windows(chunks: list[int], counts: list[int], blocks: list[bytes])
     new[1:] = (h[1:] != h[:-1]) | (low[1:] != low[:-1])
     first = np.empty(len(order), np.int64)
     first[order] = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    named = np.array(chunks, np.int64)
     out, at = [], 0
     for n in counts:
         source = first[at : at + n]
         found = source != np.arange(at, at + n)
         given = np.empty(int(found.sum()), SOURCE)
         given["id"], given["at"] = entries["id"][source[found]], entries["at"][source[found]]
+        given["chunk"] = named[of[source[found]]]
         out.append(pack(np.packbits(found).tobytes() + given.tobytes()))
         at += n
     return out
 
 
+# Third step: spans are compared with their sources, unit by unit.
+
+_FOUND = "chunk bigint, spans binary, wanted array<struct<chunk: bigint, id: bigint, at: bigint, units: binary>>"
+_WANTED = pa.list_(pa.struct([("chunk", pa.int64()), ("id", pa.int64()), ("at", pa.int64()), ("units", pa.binary())]))
+
+
+def _wanted(units: Units, spans: np.ndarray, piece: int) -> list[dict]:
+    """The spans in pieces of one length, each with the place where its source has it.
+
+    Pieces begin where the span does, at fixed places of the source, and where the span's last piece must. However
+    many spans have one source, at most as many different pieces are asked of it as it has units.
+    """
+    at, last = spans["at"], spans["at"] + (spans["stop"] - spans["start"]) - piece
+    low = at // piece + 1
+    inside = np.maximum((last - 1) // piece - low + 1, 0)
+    every = np.arange(len(spans))
+    middle = np.repeat(every, inside)
+    step = np.arange(len(middle)) - np.repeat(np.cumsum(inside) - inside, inside)
+    of = np.concatenate([every, middle, every])
+    source = np.concatenate([at, (low[middle] + step) * piece, last])
+    place = spans["start"][of] + source - at[of]
+    raw = units.text.tobytes()
+    pieces = (
+        (chunk, key, where, units.span(raw, own, own + piece))
+        for chunk, key, where, own in zip(spans["chunk"][of].tolist(), spans["id"][of].tolist(), source.tolist(), place.tolist(), strict=True)
+    )
+    return [dict(zip(("chunk", "id", "at", "units"), p, strict=True)) for p in set(pieces)]
+
+
+def _missing(units: Units, asked: list[dict], piece: int) -> int:
+    """How many of the pieces asked for are not there. One of several documents with an id is enough."""
+    raw, begins = units.text.tobytes(), units.begins
+    lengths = units.ends - begins
+    known: dict[tuple[int, int], set[bytes]] = {}
+    missing = 0
+    for want in asked:
+        key = want["id"], want["at"]
+        if key not in known:
+            low, high = np.searchsorted(units.ids, key[0], "left"), np.searchsorted(units.ids, key[0], "right")
+            long = low + np.flatnonzero(lengths[low:high] >= key[1] + piece)
+            known[key] = {units.span(raw, b + key[1], b + key[1] + piece) for b in begins[long].tolist()}
+        missing += want["units"] not in known[key]
+    return missing
+
+
+def settled(
+    chunks: Chunks, units_of: Callable[[dict], Units], parse: Callable[..., tuple[np.ndarray, np.ndarray]],
+    piece: int, *answers: DataFrame,
+) -> DataFrame | None:
+    """``(chunk, answer)``: packed spans of each chunk, or None if some are not what their sources have.
+
+    ``parse`` gives, of a chunk's row, its units and its answers, the spans that rest on hashes alone, which are compared,
+    and starts and stops of others. ``answer`` has starts and stops of all. Equal pieces are
+    merged before they are sent to the chunks.
+    """
+    n_answers = len(answers)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                units = units_of(row)
+                spans, sure = parse(row, units, *(_by_bucket(row[f"answer{i}"]) for i in range(n_answers)))
+                columns = [
+                    pa.array([row["chunk"]], pa.int64()), pa.array([pack(np.concatenate([spans, sure]))], pa.binary()),
+                    pa.array([_wanted(units, spans, piece)], _WANTED),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["chunk", "spans", "wanted"])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                missing = _missing(units_of(row), row["asked"], piece)
+                yield pa.RecordBatch.from_arrays([pa.array([missing], pa.int64())], ["missing"])
+
+    found = stored(chunks.with_answers(*answers).mapInArrow(find, _FOUND), "spans")
+    wanted = found.select(F.explode("wanted").alias("w")).select("w.*").distinct()
+    asked = wanted.groupBy("chunk").agg(F.collect_list(F.struct("id", "at", "units")).alias("asked"))
+    missing = chunks.rows.join(asked, "chunk").mapInArrow(look, "missing bigint").agg(F.sum("missing")).first()[0]
+    return None if missing else found.select("chunk", F.col("spans").alias("answer"))
+
+
+def spans_of(answer: bytes) -> np.ndarray:
+    return np.frombuffer(unpack(answer), SPAN)
+
+
 def covered(n: int, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """Which of n units lie in one of the spans."""
     change = np.zeros(n + 1, np.int32)

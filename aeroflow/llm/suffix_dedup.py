@@ -8,13 +8,14 @@ the next. Two windows around an anchor are equal if the suffixes from the anchor
 enough bytes to the right, and the strings before it, sorted alike, enough to the left.
 
 An anchor that is in very many chunks would make a group that grows with the corpus.
-The windows around such anchors are sent one by one, by their own hashes instead.
+The windows around such anchors are sent one by one, by their own hashes instead, and what is found
+so is then compared with its source byte by byte.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from aeroflow.llm import lcp_merge, repeats
-from aeroflow.llm.repeats import LAST_ID, Anchors, Chunks, Shape, Units, Windows
+from aeroflow.llm.repeats import ATTEMPTS, LAST_ID, SPAN, Anchors, Chunks, Shape, Units, Windows
 
 WINDOW = 100
 HOT_CHUNKS = 2_000
@@ -225,16 +226,27 @@ def resolve_suffixes(window: int, gram: int) -> Callable[[list[int], list[int],
 class _Parsed:
     """The steps shared by the results, up to the answers that tell repeated bytes."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, window: int, hot: int) -> None:
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, window: int, hot: int, attempts: Sequence[int]) -> None:
         shape = self.shape = shape_of(window)
         self.chunks = Chunks.of(docs, id_col, text_col, joined=False)
 
         def send_anchors(row: dict, buckets: int) -> Iterator[tuple[int, int, bytes]]:
             return repeats.anchor_blocks(np.unique(repeats.anchors(bytes_of(row), shape).hash), buckets)
 
+        first = repeats.answered(self.chunks.send(send_anchors), repeats.repeated_anchors(hot), "anchors")
+        for attempt, bits in enumerate(attempts):
+            found = self._spans(first, attempt, bits)
+            if found is not None:
+                self.found = found
+                return
+        raise RuntimeError("unequal windows have equal hashes by every hash function")
+
+    def _spans(self, first: DataFrame, attempt: int, bits: int) -> DataFrame | None:
+        shape, buckets = self.shape, self.chunks.buckets
+
         def send_suffixes(row: dict, buckets: int, first: dict[int, bytes]) -> Iterator[tuple[int, int, bytes]]:
             units = bytes_of(row)
-            suffixes, windows = _candidates(units, shape, buckets, first)
+            suffixes, windows = _candidates(units, shape, buckets, first, attempt, bits)
             yield from suffixes.blocks(units, buckets)
             for bucket, n, block in windows.blocks(units, buckets):
                 yield buckets + bucket, n, b"W" + block
@@ -244,28 +256,28 @@ class _Parsed:
                 return repeats.earliest_windows(chunks, counts, [b[1:] for b in blocks])
             return resolve_suffixes(shape.window, shape.gram)(chunks, counts, blocks)
 
-        self.first = repeats.answered(self.chunks.send(send_anchors), repeats.repeated_anchors(hot), "anchors")
-        self.second = repeats.answered(self.chunks.send(send_suffixes, self.first), resolve, "suffixes")
+        def parse(row: dict, units: Units, first: dict[int, bytes], second: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+            suffixes, windows = _candidates(units, shape, buckets, first, attempt, bits)
+            hot = windows.spans(units, shape.window, row["chunk"], buckets, {b - buckets: a for b, a in second.items()})
+            starts, stops = suffixes.spans(buckets, second, shape.window)
+            sure = np.zeros(len(starts), SPAN)
+            sure["start"], sure["stop"] = starts, stops
+            return hot, sure
 
-    def results(self, rows_of: Callable[[Units, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
-        shape, buckets = self.shape, self.chunks.buckets
+        second = repeats.answered(self.chunks.send(send_suffixes, first), resolve, "suffixes")
+        return repeats.settled(self.chunks, bytes_of, parse, shape.piece, first, second)
 
+    def results(self, rows_of: Callable[[Units, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in batch.to_pylist():
-                    units = bytes_of(row)
-                    first, second = (repeats._by_bucket(row[f"answer{i}"]) for i in (0, 1))
-                    suffixes, windows = _candidates(units, shape, buckets, first)
-                    starts, stops = suffixes.spans(buckets, second, shape.window)
-                    found = windows.sources(units, buckets, {b - buckets: a for b, a in second.items()})[0]
-                    hot = windows.start[found]
-                    gone = repeats.covered(len(units), np.concatenate([starts, hot]), np.concatenate([stops, hot + shape.window]))
-                    yield rows_of(units, gone)
+                    units, found = bytes_of(row), repeats.spans_of(row["answer0"])
+                    yield rows_of(units, repeats.covered(len(units), found["start"], found["stop"]))
 
-        return self.chunks.with_answers(self.first, self.second).mapInArrow(run, schema)
+        return self.chunks.with_answers(self.found).mapInArrow(run, schema)
 
 
-def _candidates(units: Units, shape: Shape, buckets: int, first: dict[int, bytes]) -> tuple[Suffixes, Windows]:
+def _candidates(units: Units, shape: Shape, buckets: int, first: dict[int, bytes], attempt: int, bits: int) -> tuple[Suffixes, Windows]:
     """Suffixes at anchors that occur again, and the windows of those that are in very many chunks."""
     found = repeats.anchors(units, shape)
     hashes, of, times = np.unique(found.hash, return_inverse=True, return_counts=True)
@@ -275,12 +287,12 @@ def _candidates(units: Units, shape: Shape, buckets: int, first: dict[int, bytes
     part = Anchors(*(getattr(found, f)[some] for f in ("place", "first", "last", "hash", "doc")))
     begin, length = found.first[hot], (found.last - found.first + 1)[hot]
     starts = np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(length.sum())
-    return Suffixes.of(units, part, shape), Windows.of(units, starts, np.repeat(found.doc[hot], length), shape.window)
+    return Suffixes.of(units, part, shape), Windows.of(units, starts, np.repeat(found.doc[hot], length), shape.window, attempt, bits)
 
 
 def _edges(units: Units, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and stop of each maximal removed run within a document, and the document's first byte."""
-    first = np.concatenate([[0], units.ends[:-1]]) if len(units.ends) else units.ends
+    first = units.begins
     bound = np.zeros(len(gone) + 1, bool)
     bound[units.ends] = bound[first] = True
     up = gone.copy()
@@ -290,7 +302,10 @@ def _edges(units: Units, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return np.flatnonzero(up), np.flatnonzero(down) + 1, first
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, hot: int = HOT_CHUNKS) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, hot: int = HOT_CHUNKS,
+    attempts: Sequence[int] = ATTEMPTS,
+) -> DataFrame:
     """Maximal runs of repeated bytes: ``id_col, start, stop`` in bytes of the text's UTF-8."""
 
     def rows_of(units: Units, gone: np.ndarray) -> pa.RecordBatch:
@@ -299,10 +314,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         ids = pa.array(units.ids[doc], pa.int64(), mask=units.ids[doc] == LAST_ID)
         return pa.RecordBatch.from_arrays([ids, pa.array(starts - first[doc]), pa.array(stops - first[doc])], [id_col, "start", "stop"])
 
-    return _Parsed(docs, id_col, text_col, window, hot).results(rows_of, f"`{id_col}` bigint, start bigint, stop bigint")
+    return _Parsed(docs, id_col, text_col, window, hot, attempts).results(rows_of, f"`{id_col}` bigint, start bigint, stop bigint")
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, hot: int = HOT_CHUNKS) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, hot: int = HOT_CHUNKS,
+    attempts: Sequence[int] = ATTEMPTS,
+) -> DataFrame:
     """``id_col, n_bytes, n_removed, n_spans, kept, kept_sha256`` for every row of ``docs``.
 
     Removed is each byte of the text's UTF-8 in a string of ``window`` bytes that also starts earlier: in a
@@ -310,7 +328,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     character may be cut); ``n_spans`` counts maximal removed runs. Ids are integers; NULL ids come
     last, rows with equal ids follow the order in which they are stored, and a repeated row
     repeats the first. NULL counts as empty; short texts lose nothing. An empty table gives
-    an empty result. Other columns are not looked at.
+    an empty result. Other columns are not looked at. ``hot`` and ``attempts`` (bits of hashes by which
+    windows at hot anchors are first matched) change no result; if unequal windows had equal
+    hashes in all attempts, the job stops.
     """
 
     def rows_of(units: Units, gone: np.ndarray) -> pa.RecordBatch:
@@ -324,6 +344,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ]
         return pa.RecordBatch.from_arrays(columns, [id_col, "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    return _Parsed(docs, id_col, text_col, window, hot).results(
+    return _Parsed(docs, id_col, text_col, window, hot, attempts).results(
         rows_of, f"`{id_col}` bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string"
     )

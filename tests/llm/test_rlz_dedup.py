@@ -141,3 +141,39 @@ def test_words_of_two_letters_as_brute_force(spark):
             seen.add(window)
         want[i] = sum(gone)
     assert {r["doc_id"]: r["n_removed"] for r in found} == want
+
+
+def test_unequal_windows_with_equal_hashes_are_found_out(spark):
+    rng = random.Random(21)
+    rows = [(i % 50, " ".join(rng.choice("abcd") for _ in range(rng.randrange(80)))) for i in range(60)] + [(None, "a b c d a b c d")] * 3
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    expected = got(rlz_dedup.without_repeats(docs, window=5))
+    # Hashes of 3 bits match nearly everything: the words then differ, and the next attempt counts.
+    assert got(rlz_dedup.without_repeats(docs, window=5, attempts=(3, 3, 96))) == expected
+    with pytest.raises(RuntimeError, match="equal hashes"):
+        rlz_dedup.without_repeats(docs, window=5, attempts=(3,))
+
+
+def test_pieces_cover_spans_and_are_few():
+    text = np.frombuffer(b"0123456789" * 30, np.uint8)
+    units = repeats.Units(text, np.array([4]), np.array([300]))
+    rng = np.random.default_rng(2)
+    spans = np.zeros(200, repeats.SPAN)
+    spans["at"] = rng.integers(0, 60, 200)
+    spans["start"] = spans["at"] + 100
+    spans["stop"] = spans["start"] + rng.integers(20, 60, 200)
+    for one in spans:
+        wanted = repeats._wanted(units, spans[:0], 16) + repeats._wanted(units, np.array([one]), 16)
+        places = {p for w in wanted for p in range(w["at"], w["at"] + 16)}
+        assert places == set(range(one["at"], one["at"] + one["stop"] - one["start"]))
+        assert repeats._missing(units, [{**w, "id": 4} for w in wanted], 16) == 0
+        assert repeats._missing(units, [{**w, "id": 5} for w in wanted], 16) == len(wanted)
+    assert len({(w["at"]) for w in repeats._wanted(units, spans, 16)}) <= 120
+
+
+def test_nothing_stays_in_the_catalog(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a b c")], "doc_id bigint, text string")
+    before = {t.name for t in spark.catalog.listTables()}
+    found = rlz_dedup.without_repeats(docs, window=2)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert sorted(r["n_removed"] for r in found.collect()) == [0, 3]

@@ -116,3 +116,12 @@ def test_slices_do_not_change_answers(monkeypatch):
     whole = suffix_dedup.resolve_suffixes(12, shape.gram)([0], [n], [block])
     monkeypatch.setattr(suffix_dedup, "SLICE", 50)
     assert suffix_dedup.resolve_suffixes(12, shape.gram)([0], [n], [block]) == whole
+
+
+def test_hot_windows_with_equal_hashes_are_found_out(spark):
+    rows = passages(80, 7)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    found = suffix_dedup.without_repeats(docs, window=7, hot=1, attempts=(4, 96))
+    assert got(found) == brute(sorted(rows), 7)
+    with pytest.raises(RuntimeError, match="equal hashes"):
+        suffix_dedup.without_repeats(docs, window=7, hot=1, attempts=(4,))
