@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeroflow.llm.common import one_spaced, stored, text_of
+from aeroflow.llm.common import each_copy, one_spaced, stored, text_of
 from aeroflow.llm.fuse import FuseFilter
 
 KEYS_PER_BUCKET = 1 << 18
@@ -101,13 +101,16 @@ def grouped(rows: DataFrame) -> DataFrame:
 def checked(docs: DataFrame, text_col: str, repeated: DataFrame) -> DataFrame:
     """``digest`` for each repeated digest, after comparing its texts byte by byte.
 
-    Texts are grouped by digest and by their bytes. A salt keeps a text with very many
-    copies from being one task; copies in a task are combined before the shuffle. Two
-    texts with one digest stop the job: they would need another digest.
+    Repeated digests are stored as hashes of 8 bytes, so that their true size decides whether
+    tasks look them up or texts are shuffled to them; a digest whose hash is that of a
+    repeated one is counted too, which changes nothing. Texts are grouped by digest and by their bytes. A
+    salt keeps a text with very many copies from being one task; copies in a task are combined
+    before the shuffle. Two texts with one digest stop the job: they would need another digest.
     """
     texts = docs.select(F.sha2(normalised(text_col), 256).alias("digest"), normalised(text_col).alias("text"))
+    wanted = stored(repeated.select(F.xxhash64("digest").alias("wanted")), "repeated")
     # Stored: what follows groups by digest too, and would otherwise keep the join's partitions as they are.
-    texts = stored(texts.join(repeated.select("digest"), "digest", "left_semi"), "repeated-texts")
+    texts = stored(texts.join(wanted, F.xxhash64("digest") == F.col("wanted"), "left_semi"), "repeated-texts")
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(_CHECK_SALTS))
     distinct = texts.withColumn("salt", salt).groupBy("digest", "text", "salt").agg(F.count("*").alias("n"))
     per_text = distinct.groupBy("digest", "text").agg(F.sum("n").alias("n"))
@@ -121,13 +124,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Texts are equal if they are after each run of ASCII white space becomes one space;
     NULL counts as empty. Of equal texts the least id stays, NULL ids last; of several
-    rows with that id one stays. The rows come in two batches, the lower half of the ids and
-    the rest: the first becomes the snapshot that screens the second. An empty table gives
-    an empty result. Other columns are not looked at.
+    rows with that id one stays. Ids may have any type with an order. The rows come in two
+    batches, by a bit of a hash of the id: the first becomes the snapshot that screens the second. An
+    empty table gives an empty result. Other columns are not looked at.
     """
     rows = stored(digests(docs, id_col, text_col), "digests")
-    lo, hi = rows.agg(F.min("id"), F.max("id")).first()
-    late = F.lit(True) if lo is None else F.coalesce(F.col("id") >= F.lit(lo + (hi - lo) // 2), F.lit(True))
+    late = F.xxhash64("id") < 0
     snapshot = Snapshot.of(grouped(rows.where(~late)))
     batch = stored(grouped(rows.where(late)), "batch")
     known = stored(snapshot.matches(batch), "known")
@@ -142,8 +144,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = stored(groups, "classes")
     # Rows with equal id and text are alike but for one of them being kept.
     alike = stored(rows.groupBy("digest", "id").agg(F.count("*").alias("alike")), "alike")
-    numbered = alike.join(groups, "digest").select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), "alike")).alias("number"))
-    kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("number") == 1)
+    numbered = each_copy(stored(alike.join(groups, "digest"), "members"), "alike", "number")
+    kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("number") == 0)
     return numbered.select(
         F.col("id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), F.col("digest").alias("text_sha256")
     )

@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pytest
 from compare import connect, duck_rows, spark_rows
 from fixtures import CLASHING, SCHEMA, awkward_rows, clashing_rows
 
@@ -64,3 +65,15 @@ def test_several_buckets(spark, monkeypatch):
     found = exact_dedup.exact_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {f["doc_id"] for f in found if f["kept"]} == set(range(50))
     assert all(f["keep_id"] == f["doc_id"] % 50 for f in found)
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "timestamp", "binary", "decimal(20,3)"])
+def test_ids_of_any_ordered_type(spark, kind):
+    ids = "timestamp_seconds(doc_id)" if kind == "timestamp" else "encode(string(doc_id), 'utf-8')" if kind == "binary" else f"cast(doc_id as {kind})"
+    docs = spark.createDataFrame(awkward_rows(), SCHEMA).selectExpr(f"{ids} as doc_id", "text")
+    found = exact_dedup.exact_duplicates(docs)
+    assert found.schema["keep_id"].dataType == docs.schema["doc_id"].dataType
+    rows = found.collect()
+    assert len(rows) == len(awkward_rows())
+    assert sum(r["kept"] for r in rows) == len({r["text_sha256"] for r in rows})
+    assert all(r["kept"] <= (r["doc_id"] == r["keep_id"]) for r in rows)
