@@ -194,6 +194,39 @@ def extract_paths(records: DataFrame, paths: dict[str, str], *keep: str) -> Data
     return records.select(*keep, doc).select(*keep, *fields)
 
 
+def split_variants(messages: DataFrame, array_field: str = "data") -> DataFrame:
+    """``$.<array_field>[*]`` of documents of unknown shape, each element as a variant.
+
+    A message is parsed once, to the binary form, and paths are then read from that. One that is
+    no JSON, or has no such array, gives no row.
+    """
+    elements = F.try_variant_get(F.try_parse_json(message_text(F.col("value"))), f"$.{array_field}", "array<variant>")
+    return messages.select("key", *schemas.SOURCE_COLUMNS, F.posexplode(elements).alias("pos", "record"))
+
+
+def variant_records(records: DataFrame) -> DataFrame:
+    """The JSON text in ``record`` as a variant, NULL where it is no JSON."""
+    return records.withColumn("record", F.try_parse_json("record"))
+
+
+def extract_variants(records: DataFrame, paths: dict[str, str], *keep: str) -> DataFrame:
+    """Fields of the variant in ``record`` by path; ``paths`` gives ``$.path`` or ``$.path: type`` for each name.
+
+    A field that is missing, or cannot have the type, is NULL and costs no other. Without a type it is
+    text: the JSON of an object or array.
+    """
+    columns = []
+    for name, path in paths.items():
+        where, _, kind = path.partition(": ")
+        columns.append(F.try_variant_get("record", where, kind or "string").alias(name))
+    return records.select(*keep, *columns)
+
+
+def variant_shapes(records: DataFrame, *keys: str) -> DataFrame:
+    """How many records of each shape there are; NULL for what is no JSON."""
+    return records.groupBy(*keys, F.schema_of_variant("record").alias("shape")).agg(F.count("*").alias("n"))
+
+
 def normalize_records(records: DataFrame, paths: dict[str, str], *keep: str) -> DataFrame:
     """The extracted fields as a flat JSON object in ``record``."""
     return extract_paths(records, paths, *keep).select(

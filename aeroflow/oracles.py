@@ -180,6 +180,8 @@ from {DAILY_DELAY} cross join (select min(avg_delay) as mn, max(avg_delay) as mx
     "filter_time_range": """select flight_iata, departure_scheduled from flights where departure_scheduled
   between timestamp '1998-01-01 00:00:00' and timestamp '1998-02-01 00:00:00'""",
     "json_split": """select (cast(flight_number as bigint) // 100) || '/0' as page_key, flight_iata,
+  flight_status as status from flights""",
+    "variant_split": """select (cast(flight_number as bigint) // 100) || '/0' as page_key, flight_iata,
   flight_status as status from flights""",
     "json_normalize": """select '{"flight":"' || flight_iata || '","icao":"' || departure_icao
   || '","name":"' || departure_airport || '"' || coalesce(',"gate":"' || departure_gate || '"', '')
@@ -204,6 +206,10 @@ _AIRPORT_SQL = {
     "airports_clean": "select _id, icao_code, latitude, longitude from airportsint where icao_code is not null",
     "airports_bbox": """select name, latitude, longitude from airportsint
   where latitude between 40.0 and 50.0 and longitude between -5.0 and 180.0""",
+    "positions_bbox": """select name, latitude, longitude from airportsint
+  where latitude >= 40.0 and latitude <= 50.0 and longitude >= -5.0 and longitude <= 180.0""",
+    "positions_over_date_line": """select name, latitude, longitude from airportsint
+  where abs(latitude) <= 60.0 and (longitude >= 100.0 or longitude <= -20.0)""",
     "airports_reference_box": """select name, latitude, longitude from airportsint
   where latitude between 40.0 and 50.0 and longitude between -5.0 and 10.0""",
     "enriched_airports": """select _id, icao_code, 0 as geoid_height, 0 as hae, 'spark' as created_by,
@@ -234,13 +240,13 @@ _RUNWAY_SQL = {
     "stream_runways_ingest": "select * from runways",
 }
 
-_BY_COUNTRY = f"""select ai.country, cast(sum(f.total_value) as double) as total_value_country
-  from {TOTALS} f join airportsint ai on f.airport_id = ai._id group by ai.country
-  order by total_value_country desc nulls first, ai.country asc nulls last"""
+_BY_COUNTRY = """select country, cast(sum(value) as double) as total_value_country
+  from frequencies join airportsint on airport_id = airportsint._id group by country
+  order by total_value_country desc nulls first, country asc nulls last"""
 
-_BY_NAME = f"""select ai.name, cast(f.total_value as double) as total_value
-  from {TOTALS} f join airportsint ai on f.airport_id = ai._id
-  order by total_value desc nulls first, ai.name asc nulls last"""
+_BY_NAME = """select airportsint.name, cast(sum(value) as double) as total_value
+  from frequencies join airportsint on airport_id = airportsint._id group by airport_id, airportsint.name
+  order by total_value desc nulls first, airportsint.name asc nulls last"""
 
 _JOINED_SQL = {
     "value_by_country": _BY_COUNTRY,
@@ -249,8 +255,8 @@ _JOINED_SQL = {
     "top_airports": f"{_BY_NAME} limit 15",
     "airport_heatmap": f"""select _id, name, latitude, longitude, total_value,
   case when mx = mn then 0e0 else (total_value - mn) / (mx - mn) end as weight
-  from (select ai._id, ai.name, ai.latitude, ai.longitude, cast(f.total_value as double) as total_value
-    from {TOTALS} f join airportsint ai on f.airport_id = ai._id)
+  from (select airport_id, cast(sum(value) as double) as total_value from frequencies group by airport_id)
+  join airportsint on airport_id = _id
   cross join (select cast(min(total_value) as double) as mn, cast(max(total_value) as double) as mx from {TOTALS})""",
 }
 
@@ -286,6 +292,23 @@ from scaled""",
     + """select (select count(*) from airportsint) as airports, (select count(*) from frequencies) as frequencies,
   (select count(*) from runways) as runways""",
     "json_path_extract": "select event_id, props::json->>'k' as k from events",
+    "variant_paths": """select event_id, props::json->>'k' as k, cast(props::json->>'k' as bigint) as number,
+  cast(null as varchar) as missing from events""",
+    "variant_shapes": """select is_json, count(*) as n from (
+  select json_valid(props) as is_json from events union all select json_valid(event_type) from events
+) group by is_json""",
+    "reject_reasons": f"""select '{STRAY_TOPIC}' as topic, cast(event_id % 3 as int) as partition, event_id // 3 as "offset",
+  case event_id % 6 when 1 then '  ' when 2 then '{{' || props when 3 then '{{"data":[],"of":' || event_id || '}}'
+    when 4 then '{{"data":[{{"flight":{{"iata":"E' || event_id || '"}},"flight_status":"sent"}},17,{{"departure":{{"delay":"late"}},"flight":{{"iata":"F' || event_id || '"}}}}]}}'
+  end as raw,
+  case event_id % 6 when 0 then 'empty' when 1 then 'empty' when 2 then 'malformed' when 3 then 'no_flights' else 'bad_field' end as reason
+  from events where event_id % 6 < 5""",
+    "kept_of_broken_pages": """select 'E' || event_id as flight_iata, case event_id % 6 when 4 then 'sent' else event_type end as flight_status
+  from events where event_id % 6 >= 4
+union all select 'F' || event_id, null from events where event_id % 6 = 4""",
+    "landed_pages": _with(FLIGHT_PAGES)
+    + """select 'pages' as topic, cast(0 as int) as partition, count(*) as pages, cast(0 as bigint) as first_offset,
+  count(*) - 1 as last_offset, count(*) as offsets, cast(sum(n_flights) as bigint) as flights from flight_messages""",
     "json_rewrite": """select event_id, '{"k":' || (props::json->>'k') || '}' as record from events""",
     "topic_peek": _with(FLIGHT_PAGES)
     + """select key, partition, "offset", n_flights from flight_messages order by partition, "offset" limit 5""",

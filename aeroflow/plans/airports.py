@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeroflow.functions import min_max_scale
-from aeroflow.operators import panels
+from aeroflow.operators import cells, panels
 from aeroflow.operators.flatten import with_position
 from aeroflow.operators.numeric import is_number, numeric_order, sum_numeric
 
@@ -30,6 +30,15 @@ def airports_in_box(
     )
 
 
+def positions_in_box(
+    positions: DataFrame,
+    latitudes: tuple[float, float] = (40.0, 50.0),
+    longitudes: tuple[float, float] = (-5.0, 10.0),
+) -> DataFrame:
+    """``airports_in_box`` over the table of positions: pages outside the box are not read."""
+    return positions.where(cells.in_box(latitudes, longitudes)).select("name", "latitude", "longitude")
+
+
 def airport_geo_points(airports: DataFrame, code: str = "JFK") -> DataFrame:
     named = airports.where(
         F.col("geometry").isNotNull()

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from aeroflow import schemas
 from aeroflow.functions import array_size
 from aeroflow.operators import decode, dedup, flatten
-from aeroflow.sinks.parquet import write_clustered
+from aeroflow.operators.cells import CELL, cell
+from aeroflow.sinks.parquet import write_clustered, write_sorted
 from aeroflow.sinks.topic import WIDE_ROWS
 from aeroflow.sources.tables import FLIGHT_MONTH, flight_month
 
@@ -64,6 +65,25 @@ def build_airports(messages: DataFrame, root: str, stage: str) -> None:
         table.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
+POSITION_COLUMNS = ("_id", "name", "icao_code", "country", "latitude", "longitude")
+
+
+def store_positions(airports: DataFrame, path: str) -> None:
+    """Positions as numbers, in the order of their cells, for queries by a box.
+
+    The id is part of the order, so that a cell with very many rows, or the rows without a
+    position, are several tasks' work.
+    """
+    placed = flatten.with_position(airports).select(*POSITION_COLUMNS)
+    write_sorted(placed.withColumn(CELL, cell(F.col("latitude"), F.col("longitude"))), path, CELL, "_id")
+
+
+def current_fields(messages: DataFrame, *fields: str) -> DataFrame:
+    """Some scalar fields of each airport's newest document; only these are parsed and shuffled."""
+    parsed = flatten.documents(messages, ["_id", *fields])
+    return dedup.dedup_batch(parsed.select(*schemas.SOURCE_COLUMNS, "_id", *fields))
+
+
 def airports_from_messages(messages: DataFrame) -> DataFrame:
     """One airports row per ``_id``, from its newest message."""
     parsed = flatten.documents(messages, flatten.AIRPORT_ROW_FIELDS)

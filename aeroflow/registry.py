@@ -17,6 +17,7 @@ from aeroflow.plans import build
 from aeroflow.plans import flights as fl
 from aeroflow.session import fresh_dir
 from aeroflow.sinks import FileTopicSink, ParquetSink, to_records
+from aeroflow.sources import generated
 from aeroflow.sources.generated import AIRPORTS_TOPIC, FLIGHTS_TOPIC, STRAY_TOPIC
 from aeroflow.sources.tables import TABLES
 from aeroflow.sources.topics import FileTopic, peek
@@ -95,7 +96,7 @@ def airports_flatten(w: Workspace) -> DataFrame:
 
 @query
 def airports_dedup(w: Workspace) -> DataFrame:
-    return build.airports_from_messages(w.messages(AIRPORTS_TOPIC)).select("_id", "name")
+    return build.current_fields(w.messages(AIRPORTS_TOPIC), "name")
 
 
 def _frequency_rows(rows: DataFrame) -> DataFrame:
@@ -172,6 +173,29 @@ def json_path_extract(w: Workspace) -> DataFrame:
     return decode.extract_paths(_event_records(w), {"k": "$.k"}, "event_id")
 
 
+@query
+def variant_split(w: Workspace) -> DataFrame:
+    """The split without a declared shape."""
+    records = decode.split_variants(w.messages(FLIGHTS_TOPIC)).withColumn("page_key", F.col("key").cast("string"))
+    return decode.extract_variants(records, {"flight_iata": "$.flight.iata", "status": "$.flight_status"}, "page_key")
+
+
+@query
+def variant_paths(w: Workspace) -> DataFrame:
+    """A field as text and as a number, and one that is not there."""
+    paths = {"k": "$.k", "number": "$.k: bigint", "missing": "$.no.such[0]"}
+    return decode.extract_variants(decode.variant_records(_event_records(w)), paths, "event_id")
+
+
+@query
+def variant_shapes(w: Workspace) -> DataFrame:
+    """Records of unknown shape, and words among them, by what they look like."""
+    words = w.given("events").select("event_id", F.col("event_type").alias("record"))
+    records = decode.variant_records(_event_records(w).unionByName(words))
+    shapes = decode.variant_shapes(records)
+    return shapes.groupBy(F.col("shape").isNotNull().alias("is_json")).agg(F.sum("n").alias("n"))
+
+
 @query
 def json_normalize(w: Workspace) -> DataFrame:
     records = decode.split_records(w.messages(FLIGHTS_TOPIC))
@@ -261,6 +285,26 @@ def quarantine(w: Workspace) -> DataFrame:
     return decode.airport_rejects(w.messages(AIRPORTS_TOPIC).unionByName(w.messages(STRAY_TOPIC)))
 
 
+@query
+def reject_reasons(w: Workspace) -> DataFrame:
+    """What a flight job sets aside, for each reason that there is, and what it keeps of the same messages."""
+    return decode.flight_rejects(generated.broken_pages(w.spark, w.sf_dir))
+
+
+@query
+def kept_of_broken_pages(w: Workspace) -> DataFrame:
+    return flatten.flights_from_messages(generated.broken_pages(w.spark, w.sf_dir)).select("flight_iata", "flight_status")
+
+
+@query
+def landed_pages(w: Workspace) -> DataFrame:
+    """Pages landed as files, taken in by a stream: their positions have no gaps, and no flight is lost."""
+    return decode.parse_flight_pages(w.landed().read(w.spark)).groupBy("topic", "partition").agg(
+        F.count("*").alias("pages"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+        F.count_distinct("offset").alias("offsets"), F.sum(array_size("flights").cast("bigint")).alias("flights"),
+    )
+
+
 # --- flight panels ----------------------------------------------------------
 
 
@@ -337,6 +381,17 @@ def airports_bbox(w: Workspace) -> DataFrame:
     return ap.airports_in_box(w.table("airports"), longitudes=(-5.0, 180.0))
 
 
+@query
+def positions_bbox(w: Workspace) -> DataFrame:
+    return ap.positions_in_box(w.positions(), longitudes=(-5.0, 180.0))
+
+
+@query
+def positions_over_date_line(w: Workspace) -> DataFrame:
+    """A box whose western edge lies east of its eastern one."""
+    return ap.positions_in_box(w.positions(), (-60.0, 60.0), (100.0, -20.0))
+
+
 @query
 def airport_geo_points(w: Workspace) -> DataFrame:
     return ap.airport_geo_points(w.table("airports"))

@@ -74,6 +74,12 @@ def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def write_sorted(rows: DataFrame, path: str, *order: str) -> None:
+    """Writes a table in files that each hold a range of ``order``, with short pages."""
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.write.mode("overwrite").option("parquet.page.row.count.limit", PAGE_ROWS).parquet(path)
+
+
 def write_clustered(rows: DataFrame, path: str, folder: str, within: list[str]) -> None:
     """Writes a table in folders, with few files per folder.
 

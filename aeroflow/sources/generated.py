@@ -212,3 +212,30 @@ def stray_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"event_id div {PARTITIONS}").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
+
+
+# Messages a flight job cannot take, or not whole, by the remainder of the event's number.
+BROKEN_PAGES = (
+    "null",  # no value
+    "'  '",
+    "concat('{', props)",
+    """concat('{"data":[],"of":', event_id, '}')""",
+    """concat('{"data":[{"flight":{"iata":"E', event_id, '"},"flight_status":"sent"},17,{"departure":{"delay":"late"},"flight":{"iata":"F', event_id, '"}}]}')""",
+    """concat('{"data":[{"flight":{"iata":"E', event_id, '"},"flight_status":"', event_type, '"}]}')""",
+)
+
+
+def broken_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event rows as flight pages: empty, malformed, without flights, with bad elements, and whole ones."""
+    kind = F.col("event_id") % len(BROKEN_PAGES)
+    value = F.expr("cast(null as string)")
+    for i, text in enumerate(BROKEN_PAGES[1:], 1):
+        value = F.when(kind == i, F.expr(text)).otherwise(value)
+    return table(spark, sf_dir, "events").select(
+        F.lit(None).cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
+        F.lit(STRAY_TOPIC).alias("topic"),
+        F.expr(f"cast(event_id % {PARTITIONS} as int)").alias("partition"),
+        F.expr(f"event_id div {PARTITIONS}").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )

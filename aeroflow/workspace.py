@@ -12,6 +12,7 @@ import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aeroflow import schemas
 from aeroflow.operators import decode
@@ -21,7 +22,7 @@ from aeroflow.sinks import CompactingSink, FileTopicSink, ParquetSink
 from aeroflow.sources import generated
 from aeroflow.sources.tables import read_table
 from aeroflow.sources.topics import FileTopic
-from aeroflow.streaming import AIRPORT_JOB, FLIGHT_JOB, PANEL_JOB, current_job, ingest
+from aeroflow.streaming import AIRPORT_JOB, FLIGHT_JOB, PANEL_JOB, LandedTopic, current_job, ingest
 from aeroflow.streaming.panels import compact_panels
 
 TOPICS = {
@@ -104,6 +105,26 @@ class Workspace:
         tables = f"{self.root}/tables"
         return self._frame(f"table {name}", lambda: read_table(self.spark, tables, name))
 
+    def positions(self) -> DataFrame:
+        """Airport positions in the order of their cells."""
+        path = f"{self.root}/tables/positions"
+        self._once("positions", lambda: build.store_positions(self.table("airports"), path))
+        return self._frame("positions", lambda: self.spark.read.parquet(path))
+
+    def landed(self) -> FileTopic:
+        """Flight pages, landed as a file each in two visits and taken in after each."""
+        landed = LandedTopic(f"{self.root}/landing/pages", f"{self.root}/landing/topic", "pages", max_files=2_000)
+
+        def run() -> None:
+            pages = self.messages(generated.FLIGHTS_TOPIC)
+            for visit in range(2):
+                some = pages.where(F.col("offset") % 2 == visit).select(F.col("value").cast("string").alias("value"))
+                some.write.mode("append").option("maxRecordsPerFile", 1).text(landed.folder)
+                landed.update(self.spark)
+
+        self._once("landed", run)
+        return landed.records()
+
     def flights_by_month(self) -> DataFrame:
         """Flights with their month folder, by which time ranges leave folders out."""
         self.table("flights")
