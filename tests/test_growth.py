@@ -1,0 +1,117 @@
+"""Work that is cut by rows, so that no task's share grows with the input."""
+
+from __future__ import annotations
+
+import datetime as dt
+import importlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from aeroflow.sources import generated
+from aeroflow.streaming import FLIGHT_JOB, LandedTopic
+from aeroflow.workspace import time_ranges
+
+jobs = importlib.import_module("aeroflow.streaming.ingest")
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "make, per_task, rows",
+    [(generated.flight_messages, "FLIGHTS_PER_TASK", 1500), (generated.airport_messages, "CHILDREN_PER_TASK", 6000),
+     (generated.stray_messages, "STRAYS_PER_TASK", 1000)],
+)
+def test_tasks_that_make_documents_grow_with_the_rows(spark, small_dir, monkeypatch, make, per_task, rows):
+    monkeypatch.setattr(generated, per_task, rows // 40)
+    assert make(spark, small_dir).rdd.getNumPartitions() >= 40
+
+
+def test_documents_are_not_shuffled_or_sorted_to_meet_their_airport(spark, small_dir, monkeypatch):
+    monkeypatch.setattr(generated, "CHILDREN_PER_TASK", 100)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = plan(generated.airport_messages(spark, small_dir)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    above = "\n".join(lines[: next(i for i, line in enumerate(lines) if "collect_list" in line)])
+    assert "ShuffledHashJoin" in above and "SortMergeJoin" not in above and "Exchange" not in above
+
+
+def test_an_airport_of_many_pages_has_its_columns_on_each(spark, small_dir, tmp_path):
+    lines = spark.read.parquet(f"{small_dir}/lineitem.parquet").withColumn("l_suppkey", F.lit(2).cast("bigint"))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name in ("supplier", "nation"):
+        spark.read.parquet(f"{small_dir}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    sent = generated.airport_messages(spark, str(tmp_path), per_message=100)
+    doc = F.from_json(F.col("value").cast("string"), "_id string, name string, frequencies array<string>")
+    pages = sent.select(F.inline(F.array(doc))).where("_id = 'ap2'").collect()
+    assert len(pages) > 50 and len({p["name"] for p in pages}) == 1
+    assert sum(len(p["frequencies"]) for p in pages) == lines.count()
+
+
+@pytest.mark.parametrize("ties", [False, True])
+def test_every_record_is_in_one_range_of_times(spark, ties):
+    at = dt.datetime(2025, 1, 1)
+    rows = [(at if ties else at + dt.timedelta(seconds=i // 7), i) for i in range(300)]
+    rows += [(None, 5), (None, None), (at, None), (at, 0), (at + dt.timedelta(days=1), None)]
+    records = spark.createDataFrame(rows, "timestamp timestamp, offset bigint").repartition(3)
+    tests = time_ranges(records)
+    parts = [records.where(test).collect() for test in tests]
+    assert len(parts) == 6 and Counter(r for part in parts for r in part) == Counter(records.collect())
+    assert all(20 < len(part) < 100 for part in parts)
+    known = [[tuple(r) for r in part if None not in tuple(r)] for part in parts]
+    assert all(max(a) < min(b) for a, b in zip(known, known[1:]))
+
+
+def test_no_range_is_lost_of_an_empty_topic(spark):
+    records = spark.createDataFrame([], "timestamp timestamp, offset bigint")
+    assert [records.where(test).count() for test in time_ranges(records)] == [0]
+
+
+def test_flights_are_sorted_before_they_are_text(messages):
+    pages = FLIGHT_JOB.parse(messages([{"data": [{"flight": {"iata": "A"}}]}]))
+    lines = plan(FLIGHT_JOB.tables(pages)["flights"]).split("== Initial Plan ==")[0].splitlines()
+    sort = [i for i, line in enumerate(lines) if "Sort [" in line]
+    assert len(sort) == 1
+    assert not any("to_json" in line for line in lines[sort[0]:])
+
+
+def test_staged_documents_are_read_by_more_tasks(spark, messages, tmp_path, monkeypatch):
+    class Sink:
+        def committed(self, spark, job, batch_id, ddl):
+            return spark.createDataFrame([], ddl)
+
+        def write(self, table, rows, job, batch_id):
+            tasks[table] = rows.rdd.getNumPartitions()
+
+        def commit(self, audit, job, batch_id):
+            tasks["commit"] = 1
+
+    name, tasks = "spark.sql.files.maxPartitionBytes", {}
+    before = spark.conf.get(name)
+    sent = messages([{"data": [{"flight": {"iata": f"A{i}"}}]} for i in range(40)]).repartition(4)
+    monkeypatch.setattr(jobs, "small_splits", lambda s, small=jobs.small_splits: small(s, 1000))
+    jobs.write_batch(FLIGHT_JOB, Sink(), FLIGHT_JOB.parse(sent), 0, str(tmp_path / "stage"))
+    assert tasks["flights"] > 4 and tasks["commit"]
+    assert spark.conf.get(name) == before
+
+
+def test_landed_files_are_looked_up_by_few_tasks(spark, tmp_path, monkeypatch):
+    landed = LandedTopic(str(tmp_path / "pages"), str(tmp_path / "topic"), "pages", max_files=50)
+    spark.range(60).selectExpr("concat('p', id)").repartition(1).write.option("maxRecordsPerFile", 1).text(landed.folder)
+    name, seen, take = "spark.sql.sources.parallelPartitionDiscovery.parallelism", [], LandedTopic._take
+
+    def watched(self, batch, batch_id):
+        seen.append(int(spark.conf.get(name)))
+        take(self, batch, batch_id)
+
+    before = spark.conf.get(name)
+    monkeypatch.setattr(LandedTopic, "_take", watched)
+    landed.update(spark)
+    assert landed.records().read(spark).count() == 60
+    assert seen and max(seen) <= 16 and spark.conf.get(name) == before
